@@ -271,7 +271,7 @@ def dob_individual(spark, sf):
 
 @query("sex_individual", _sex_selection(o.long_table("sex")))
 def sex_individual(spark, sf):
-    return rl.select_sex(long_rows(spark, sf, "sex"), max_record_date=_LAST_DAY, rows_are_distinct=True)
+    return rl.select_sex(long_rows(spark, sf, "sex"), max_record_date=_LAST_DAY, equal_rows="none")
 
 
 @query(
@@ -289,7 +289,7 @@ def sex_individual_chosen_sources(spark, sf):
         max_record_date="2001-01-01",
         filter_data_sources=["hes_apc", "hes_op", "ssnap"],
         priority_index={"ssnap": 1, "hes_op": 2},
-        rows_are_distinct=True,
+        equal_rows="none",
     )
 
 
@@ -319,7 +319,7 @@ _ETHNICITY_TIES = [
 )
 def ethnicity_individual(spark, sf):
     rows = long_rows(spark, sf, "ethnicity")
-    return rl.select_ethnicity(rows, max_record_date=_LAST_DAY, rows_are_distinct=True)
+    return rl.select_ethnicity(rows, max_record_date=_LAST_DAY, equal_rows="none")
 
 
 def _lsoa_selection(priority: dict | None) -> str:
@@ -329,13 +329,13 @@ def _lsoa_selection(priority: dict | None) -> str:
 
 @query("lsoa_individual", _lsoa_selection(_PRIORITY))
 def lsoa_individual(spark, sf):
-    return rl.select_lsoa(long_rows(spark, sf, "lsoa"), max_record_date=_LAST_DAY, rows_are_distinct=True)
+    return rl.select_lsoa(long_rows(spark, sf, "lsoa"), max_record_date=_LAST_DAY, equal_rows="none")
 
 
 @query("lsoa_individual_no_priority", _lsoa_selection(None))
 def lsoa_individual_no_priority(spark, sf):
     rows = long_rows(spark, sf, "lsoa")
-    return rl.select_lsoa(rows, max_record_date=_LAST_DAY, priority_index=None, rows_are_distinct=True)
+    return rl.select_lsoa(rows, max_record_date=_LAST_DAY, priority_index=None, equal_rows="none")
 
 
 # Codelists -----------------------------------------------------------------------------------------------------------

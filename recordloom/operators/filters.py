@@ -13,7 +13,9 @@ from recordloom.functions import as_bound
 
 def require(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Rows in which none of the columns is null."""
-    return df.dropna(subset=list(columns))
+    for column in columns:
+        df = df.filter(F.col(column).isNotNull())
+    return df
 
 
 def within_dates(

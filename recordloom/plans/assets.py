@@ -76,17 +76,15 @@ def build_individual(
     table_multisource: str | None = None,
     table_individual: str | None = None,
     spec: SelectionSpec | None = None,
-    rows_are_distinct: bool | None = None,
+    equal_rows: str | None = None,
     **options,
 ) -> None:
     """Select one record per person from a saved long table and save the result.
 
     Keys default to ``<asset>_multisource`` and ``<asset>_individual``. Options are those of ``select_records``. The
-    long table counts as free of equal rows if ``build_multisource`` makes it so; pass ``rows_are_distinct=False``
-    for one of other origin.
+    long table is taken to be one that ``build_multisource`` made; pass ``equal_rows='many'`` for one of other origin.
     """
     spec = spec or SELECTIONS[asset]
-    distinct = spec.distinct_source if rows_are_distinct is None else rows_are_distinct
     rows = load_table(spark, table_multisource or f"{asset}_multisource", directory)
-    selected = select_records(rows, spec, rows_are_distinct=distinct, **options)
+    selected = select_records(rows, spec, equal_rows=equal_rows or spec.equal_rows, **options)
     save_table(selected, table_individual or f"{asset}_individual", directory)

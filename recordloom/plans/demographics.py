@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +41,18 @@ def new_versions(source: DataFrame, existing: DataFrame) -> DataFrame:
     return archive_versions(source).join(archive_versions(existing), VERSION_COLUMN, "left_anti")
 
 
+@contextmanager
+def _replacing_only_written_partitions(spark: SparkSession) -> Iterator[None]:
+    # The writer option of the same meaning is not honoured by insertInto.
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def update_demographics(
     spark: SparkSession,
     directory: Directory,
@@ -71,5 +86,6 @@ def update_demographics(
         wanted = records.filter(F.col(VERSION_COLUMN).isin([F.lit(v).cast(kind) for v in missing]))
         columns = spark.table(name).columns
         added = summarise_demographics(wanted).select(*columns).hint("rebalance", VERSION_COLUMN)
-        added.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name)
+        with _replacing_only_written_partitions(spark):
+            added.write.mode("overwrite").insertInto(name)
     return missing

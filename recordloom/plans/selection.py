@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordloom.functions import lookup, seeded_order
+from recordloom.functions import seeded_order
 from recordloom.operators.filters import exclude_codes, filter_sources, require, within_dates
 from recordloom.operators.top_rows import first_dense_rank
 from recordloom.sources.codelist_values import ETHNICITY_NULL_CODES
@@ -54,8 +54,8 @@ class SelectionSpec:
     condition: str | None = None
     # Latest date first and priority second, instead of the reverse.
     recency_first: bool = False
-    # Whether the multi-source table built by this library holds no two equal rows.
-    distinct_source: bool = True
+    # Equal rows in the multi-source table that this library builds; see ``select_records``.
+    equal_rows: str = "none"
 
 
 def _check_priority(priority: Mapping[str, int] | None, sources: Sequence[str]) -> None:
@@ -68,20 +68,41 @@ def _check_priority(priority: Mapping[str, int] | None, sources: Sequence[str])
         raise ValueError(f"Unknown data sources in priority_index {unknown}; allowed are {sorted(sources)}.")
 
 
-def _best_of_each_value(rows: DataFrame, spec: SelectionSpec, rows_are_distinct: bool) -> DataFrame:
-    """Latest date, and number of rows on it, for each person, source and combination of values.
+def _standing(spec: SelectionSpec, priority: Mapping[str, int] | None) -> Column:
+    """Priority and recency as one number, the better the lower; sources without a priority come last."""
+    ranks = sorted(set((priority or {}).values()))
+    rank = F.lit(len(ranks))
+    for source, level in (priority or {}).items():
+        rank = F.when(F.col("data_source") == source, ranks.index(level)).otherwise(rank)
+    age = -F.unix_date("record_date").cast("long")
+    # Days need 32 bits with their sign, so neither part reaches into the other.
+    return age * (len(ranks) + 1) + rank if spec.recency_first else rank.cast("long") * 2**33 + age
 
-    A person's best records are the latest ones of some source and combination, so nothing is lost. Hash aggregation
-    with fixed-size buffers shrinks the rows map-side, and the key spreads a person with very many rows.
-    """
+
+def _best_rows(rows: DataFrame, spec: SelectionSpec, priority: Mapping[str, int] | None, equal_rows: str) -> DataFrame:
+    """Each person's best rows, equal ones combined and counted in ``copies``."""
     key = ["person_id", "data_source", *spec.values]
-    if rows_are_distinct:
-        return rows.groupBy(*key).agg(F.max("record_date").alias("record_date")).withColumn("copies", F.lit(1))
-    # Equal rows are counted first, again map-side, so a large group of copies is never shuffled.
-    counted = rows.groupBy(*key, "record_date").agg(F.count(F.lit(1)).alias("copies"))
-    return counted.groupBy(*key).agg(
-        F.max_by("copies", "record_date").cast("int").alias("copies"), F.max("record_date").alias("record_date")
-    )
+    standing = _standing(spec, priority)
+    if equal_rows == "few":
+        best = first_dense_rank(rows, partition_by="person_id", order_by=standing)
+        return best.groupBy(*key, "record_date").agg(F.count(F.lit(1)).cast("int").alias("copies"))
+
+    # A person's best rows are the latest ones of some source and combination of values, so only the latest date of
+    # each combination is kept. The hash aggregation has fixed-size buffers and shrinks the rows map-side; its key
+    # spreads a person with very many rows over the tasks.
+    if equal_rows == "none":
+        latest = rows.groupBy(*key).agg(F.max("record_date").alias("record_date")).withColumn("copies", F.lit(1))
+    else:
+        # Equal rows are counted first, again map-side, so a large group of them is never shuffled.
+        counted = rows.groupBy(*key, "record_date").agg(F.count(F.lit(1)).alias("copies"))
+        latest = counted.groupBy(*key).agg(
+            F.max_by("copies", "record_date").cast("int").alias("copies"), F.max("record_date").alias("record_date")
+        )
+    # A minimum over the person rather than a rank: it needs no order within the person, hence one sort less, and
+    # what a rank limit would drop before the shuffle is gone already.
+    lowest = F.min("standing").over(Window.partitionBy("person_id"))
+    best = latest.withColumn("standing", standing).withColumn("lowest", lowest)
+    return best.filter(F.col("standing") == F.col("lowest")).drop("standing", "lowest")
 
 
 def select_records(
@@ -91,7 +112,7 @@ def select_records(
     filter_data_sources: list[str] | None = None,
     priority_index: Mapping[str, int] | None = _DEFAULT,
     null_codes: Mapping[str, Collection[str]] | None = None,
-    rows_are_distinct: bool = False,
+    equal_rows: str = "many",
     seed: int = SEED,
 ) -> DataFrame:
     """One record per person: best source priority, then latest date (or the reverse), ties reported.
@@ -102,9 +123,12 @@ def select_records(
     of them with their sources, ordered by source and values, repeated as often as they occur; otherwise flag and
     arrays are null. Sources without a priority come last; ``priority_index=None`` gives all sources the same.
 
-    ``rows_are_distinct`` promises that no two rows are equal, as in tables built by ``build_multisource``; it saves
-    the count of equal rows and its shuffle.
+    ``equal_rows`` says what is known about equal rows, which only matters for the plan: ``'many'`` assumes nothing
+    and counts them before they are shuffled, ``'few'`` sorts each person's rows in a single shuffle, and ``'none'``
+    promises that no two rows are equal, as in most tables built by ``build_multisource``, and saves the count.
     """
+    if equal_rows not in ("none", "few", "many"):
+        raise ValueError(f"equal_rows must be 'none', 'few' or 'many', not {equal_rows!r}.")
     priority = spec.priority if priority_index is _DEFAULT else priority_index
     _check_priority(priority, spec.sources)
     usable = require(df, ["person_id", "record_date", *spec.required])
@@ -116,13 +140,7 @@ def select_records(
         usable = within_dates(usable, column, minimum, maximum)
     usable = filter_sources(usable, filter_data_sources, spec.sources)
 
-    rank = lookup(F.col("data_source"), priority) if priority else F.lit(None).cast("int")
-    order = [F.col("source_priority").asc_nulls_last(), F.col("record_date").desc()]
-    best = first_dense_rank(
-        _best_of_each_value(usable, spec, rows_are_distinct).withColumn("source_priority", rank),
-        partition_by="person_id",
-        order_by=order[::-1] if spec.recency_first else order,
-    )
+    best = _best_rows(usable, spec, priority, equal_rows)
 
     # Struct order is list order: source, then the ordering values, then the rest.
     fields = ["data_source", *spec.tie_order, *[v for v in spec.values if v not in spec.tie_order]]
@@ -180,7 +198,7 @@ DATE_OF_BIRTH = SelectionSpec(
     bounds={"record_date": ("1900-01-01", "current_date()"), "date_of_birth": ("1880-01-01", "current_date()")},
     condition="record_date >= date_of_birth",
     # Two ages on one date may give the same date of birth.
-    distinct_source=False,
+    equal_rows="few",
 )
 
 SEX = SelectionSpec(
