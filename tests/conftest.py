@@ -14,7 +14,12 @@ def spark():
     from checks.compare import local_session
 
     warehouse = tempfile.mkdtemp(prefix="recordloom-warehouse-")
-    session = local_session("4", **{"spark.sql.warehouse.dir": warehouse, "spark.sql.shuffle.partitions": "4"})
+    conf = {
+        "spark.sql.warehouse.dir": warehouse,
+        "spark.sql.shuffle.partitions": "4",
+        "spark.sql.maxMetadataStringLength": "4000",
+    }
+    session = local_session("4", **conf)
     yield session
     session.stop()
 
