@@ -146,7 +146,7 @@ def select_records(
     fields = ["data_source", *spec.tie_order, *[v for v in spec.values if v not in spec.tie_order]]
     tied = best.groupBy("person_id").agg(
         F.max("record_date").alias("record_date"),
-        F.array_sort(F.collect_list(F.struct(*fields, "copies"))).alias("tied"),
+        F.sort_array(F.collect_list(F.struct(*fields, "copies"))).alias("tied"),
     )
 
     def drawn(record: Column) -> Column:
