@@ -64,7 +64,6 @@ def main(sf_dir: str = "/root/testdata/sf0.01", *names: str) -> int:
             note = "" if good else f"{got[0]} {expected[0]} {len(got[1])} {len(expected[1])} " + str(
                 [p for p in zip(got[1], expected[1]) if p[0] != p[1]][:2]
             )
-            kinds = [str(t[1]) for t in connection.execute(f"describe ({ORACLES[name]})").fetchall()] if name in ORACLES else []
         except Exception as error:  # reported, and the run goes on
             good, note, got = False, f"{type(error).__name__}: {str(error)[:600]}", ([], [])
         if not good:

@@ -15,6 +15,7 @@ from checks.views import rendered, table, view, with_views
 from recordloom.functions import date_bound, dob_from_age
 from recordloom.sources import ASSETS, packaged_codelist
 from recordloom.sources import codelist_values as values
+from recordloom.sources.extracts import Codelist, scans
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -72,10 +73,10 @@ def first_row_per_person(spark, sf):
 
 @query(
     "first_rank_per_person",
-    f"""select *, cast(month as varchar) as month from (
+    f"""select o_orderkey, o_custkey, cast(month as varchar) as month, rank_index from (
             select o_orderkey, o_custkey, {_MONTHS} as month,
                    cast(rank() over (partition by o_custkey order by {_MONTHS}) as int) as rank_index from orders)
-        where rank_index <= 3""".replace("select *, cast(month as varchar) as month", "select o_orderkey, o_custkey, cast(month as varchar) as month, rank_index"),
+        where rank_index <= 3""",
 )
 def first_rank_per_person(spark, sf):
     return rl.first_rank(_orders_by_month(spark, sf), 3, "o_custkey", "month", return_index_column=True)
@@ -220,20 +221,14 @@ def codelists(spark: SparkSession) -> dict[str, DataFrame]:
     return given | {name: packaged_codelist(spark, name) for name in ("antigen_tests", "infection_snomed")}
 
 
-def source_rows(spark: SparkSession, sf: str, table_key: str) -> DataFrame:
-    return view(spark, sf, table_key)
-
-
 def long_rows(spark: SparkSession, sf: str, asset: str, sources: list[str] | None = None) -> DataFrame:
     """The multi-source table of an asset over the views, with its shared scans."""
-    from recordloom.sources.extracts import Codelist, scans
-
     spec, lists = ASSETS[asset], {}
     needed = {spec.sources[s].codelist for s in spec.chosen(sources)} - {None}
     if needed:
         lists = {name: Codelist(rows, True) for name, rows in codelists(spark).items() if name in needed}
     parts = [
-        rl.extract(source_rows(spark, sf, spec.sources[labels[0]].table), spec, labels, lists)
+        rl.extract(view(spark, sf, spec.sources[labels[0]].table), spec, labels, lists)
         for labels in scans(spec, sources)
     ]
     return rl.combine_sources(parts)
