@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.llm import mixing, quality_rules, sharding, token_counts
+from recordloom.llm import jaccard_join, mixing, quality_rules, sharding, span_dedup, token_counts
 from recordloom.llm.tables import table, written
 
 #: The folder of public vocabulary files; a parameter of the query, never copied.
@@ -64,6 +64,10 @@ def source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).drop("pieces")
 
 
+def jaccard_components(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.linked_documents(table(spark, folder, "documents"), words_per_gram=4, percent=85)
+
+
 def quality_ledger(spark: SparkSession, folder: str) -> DataFrame:
     base = quality_rules.mask(quality_rules.POLICIES[1])
     return quality_rules.ledger(table(spark, folder, "documents")).select(
@@ -74,6 +78,10 @@ def quality_ledger(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def earlier_span_removal(spark: SparkSession, folder: str) -> DataFrame:
+    return span_dedup.without_repeats(table(spark, folder, "documents"), length=100, with_text=False)
+
+
 _LEDGER_SQL = r"""
 WITH w AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
@@ -112,7 +120,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": token_count,
     "op4_splitter_shards": splitter_shards,
     "op6_source_mix": source_mix,
+    "op7_jaccard_components": jaccard_components,
     "op8_quality_ledger": quality_ledger,
+    "op9_earlier_spans": earlier_span_removal,
 }
 QUERIES = {name: shipped(query) for name, query in QUERIES.items()}
 

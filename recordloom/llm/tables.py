@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,3 +51,58 @@ def by_batches(
         return function(small())
 
     return df.mapInArrow(run, schema)
+
+
+def by_runs(
+    df: DataFrame, keys: list[str], function: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str, rows: int = 20_000
+) -> DataFrame:
+    """Rows with equal ``keys`` brought together and given to ``function`` whole, many small groups at once.
+
+    ``function`` gets tables sorted by ``keys`` that never cut a group. A group is held in memory, so callers bound
+    its size by the choice of ``keys``.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        n = 0
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            if n < rows:
+                continue
+            whole = pa.Table.from_batches(held)
+            at = n - 1
+            last = [whole.column(k)[at].as_py() for k in keys]
+            cut = _first_of_run(whole, keys, last)
+            if cut:
+                yield from function(whole.slice(0, cut))
+                held = whole.slice(cut).to_batches()
+                n -= cut
+        if n:
+            yield from function(pa.Table.from_batches(held))
+
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+
+
+def _first_of_run(whole: pa.Table, keys: list[str], last: list) -> int:
+    low, high = 0, whole.num_rows - 1  # the last row belongs to the run; find the first that does
+    columns = [whole.column(k) for k in keys]
+    while low < high:
+        middle = (low + high) // 2
+        if [c[middle].as_py() for c in columns] == last:
+            high = middle
+        else:
+            low = middle + 1
+    return low
+
+
+def runs(whole: pa.Table, keys: list[str]) -> list[tuple[int, int]]:
+    """First and end of each run of equal ``keys`` (whole numbers without nulls)."""
+    n = whole.num_rows
+    change = np.zeros(n + 1, bool)
+    change[[0, n]] = True
+    for k in keys:
+        column = whole.column(k).to_numpy()
+        change[1:-1] |= column[1:] != column[:-1]
+    at = np.flatnonzero(change)
+    return list(zip(at[:-1].tolist(), at[1:].tolist()))
