@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.llm import jaccard_join, mixing, quality_rules, sharding, span_dedup, token_counts
+from recordloom.llm import decontamination, jaccard_join, mixing, quality_rules, sharding, span_dedup, token_counts
 from recordloom.llm.tables import table, written
 
 #: The folder of public vocabulary files; a parameter of the query, never copied.
@@ -48,6 +48,10 @@ def token_count(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
 
 
+def benchmark_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def splitter_shards(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     slim = docs.select(
@@ -117,6 +121,7 @@ FROM bits
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_benchmark_passages": benchmark_passages,
     "op3_token_counts": token_count,
     "op4_splitter_shards": splitter_shards,
     "op6_source_mix": source_mix,
