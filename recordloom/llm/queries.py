@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.llm import decontamination, jaccard_join, mixing, quality_rules, sharding, span_dedup, token_counts
+from recordloom.llm import decontamination, jaccard_join, mixing, quality_gam, quality_rules, sharding, span_dedup, token_counts, tool_calls, toxicity
 from recordloom.llm.tables import table, written
 
 #: The folder of public vocabulary files; a parameter of the query, never copied.
@@ -48,6 +48,17 @@ def token_count(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
 
 
+def toxicity_chain(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    labels = table(spark, folder, "labels").withColumn("low_quality", 1 - F.col("quality"))
+    return toxicity.predict(docs, toxicity.train(docs, labels, ["low_quality", "toxic"]), flag="toxic")
+
+
+def additive_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality_gam.score(docs, quality_gam.train(docs, table(spark, folder, "labels")))
+
+
 def benchmark_passages(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -64,6 +75,34 @@ def splitter_shards(spark: SparkSession, folder: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+#: The tools that the conversations' turns are read as calls of.
+TOOL_SCHEMAS = {
+    "answer": {
+        "type": "object", "required": ["question", "words"], "additionalProperties": False,
+        "properties": {"question": {"type": "string", "minLength": 1, "maxLength": 400}, "words": {"type": "integer", "minimum": 1, "maximum": 60}, "after": {"type": "object"}},
+    },
+    "summarise": {
+        "type": "object", "required": ["question"], "additionalProperties": False,
+        "properties": {"question": {"type": "string", "minLength": 30}, "words": {"type": "integer"}, "after": {"type": "object"}},
+    },
+}
+
+
+def tool_call_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Each user turn read as a tool call that refers to the one half as far into the conversation, each assistant turn as the result of the call before it."""
+    turns = table(spark, folder, "conversations")
+    identifier = lambda turn: F.concat(F.lit("call-"), turn.cast("string"))
+    half = F.floor(F.col("turn") / 2)
+    arguments = F.to_json(F.struct(
+        F.when(F.col("turn") > 1, F.struct(identifier(half).alias("$ref"))).alias("after"),
+        F.size(F.split(F.coalesce("text", F.lit("")), " ")).alias("words"), F.coalesce("text", F.lit("")).alias("question"),
+    ))
+    calls = turns.where("role = 'user'").select("conv_id", "turn", identifier(F.col("turn")).alias("call_id"), F.when(F.col("turn") % 3 == 0, "answer").otherwise("summarise").alias("name"), arguments.alias("arguments"))
+    results = turns.where("role = 'assistant'").select("conv_id", "turn", identifier(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content"))
+    others = turns.where("role NOT IN ('user', 'assistant') OR role IS NULL").select("conv_id", "turn", "role", F.col("text").alias("content"))
+    return tool_calls.link(calls, results, TOOL_SCHEMAS, others)
+
+
 def source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).drop("pieces")
 
@@ -121,13 +160,16 @@ FROM bits
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity_chain": toxicity_chain,
     "op2_benchmark_passages": benchmark_passages,
     "op3_token_counts": token_count,
     "op4_splitter_shards": splitter_shards,
+    "op5_tool_call_messages": tool_call_messages,
     "op6_source_mix": source_mix,
     "op7_jaccard_components": jaccard_components,
     "op8_quality_ledger": quality_ledger,
     "op9_earlier_spans": earlier_span_removal,
+    "op10_additive_quality": additive_quality,
 }
 QUERIES = {name: shipped(query) for name, query in QUERIES.items()}
 
