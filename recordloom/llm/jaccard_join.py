@@ -1,9 +1,9 @@
 """Which documents are joined by chains of links, two documents being linked when their sets of word n-grams are alike.
 
-Equal sets are one node from the start. Nodes meet where they can be alike at all: alike sets share one of their first
-n-grams in any common order (the order puts n-grams that a sample shows to be frequent last). Nodes that share first
-n-grams are gathered, each in one block of bounded size, where a signature tree over their sets is traversed against
-itself. The clusters found are nodes of an upper level, with their combined bitmaps and size ranges. Clusters of
+Equal sets are one node from the start. Nodes meet where they can be alike at all: alike sets share some of their first
+n-grams in any common order (the order puts n-grams that a sample shows to be frequent last). Nodes that share enough
+of their first n-grams with nodes of a fitting size are gathered, each in one block of bounded size, where a signature
+tree over their sets is traversed against itself. The clusters found are nodes of an upper level, with their combined bitmaps and size ranges. Clusters of
 different blocks that share a first n-gram are paired by a traversal over these, and the pairs that remain possible are
 compared by their members. Nothing is capped: a large block is split, and its parts meet again as clusters.
 """
@@ -32,6 +32,12 @@ BLOCK_GRAMS = 2_000_000
 BLOCK_SETS = 2_000
 #: Clusters that share an n-gram are split in parts of about so many, every two of which meet.
 PART_NODES = 2_000
+#: Alike sets share more of longer first parts: of one n-gram in so many beyond the shortest one, all are shared.
+SHARED_SHARE = 25
+#: Rounds of leaving out sets that share too few of their first n-grams with what is left.
+ROUNDS = 2
+#: Bits of the map of sets that are wanted, by which texts are passed over before their sets are shuffled.
+MAP_BITS = 26
 #: Sets a task remembers, so that it sends a set's first n-grams once.
 REMEMBERED = 1_000_000
 
@@ -66,6 +72,11 @@ def frequent_grams(docs: DataFrame, n: int) -> np.ndarray:
     return np.sort(found["gram"].to_numpy(np.int64).view(np.uint64))
 
 
+def least_shared(n: int) -> int:
+    """How many first n-grams two alike sets share, the smaller of ``n``; the first part is so much longer than the prefix for one."""
+    return 1 + n // SHARED_SHARE
+
+
 def sketches(docs: DataFrame, n: int, threshold: Threshold, frequent: np.ndarray) -> DataFrame:
     """For each document: its text's hash, the set's size and fingerprint, and the first n-grams as bytes."""
     schema = docs.schema
@@ -79,7 +90,7 @@ def sketches(docs: DataFrame, n: int, threshold: Threshold, frequent: np.ndarray
                     late = frequent[np.minimum(np.searchsorted(frequent, value), len(frequent) - 1)] == value
                 prefix = []
                 for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
-                    size = threshold.prefix(b - a) if b > a else 0
+                    size = threshold.prefix(b - a) + least_shared(b - a) - 1 if b > a else 0
                     own = value[a:b]
                     if late[a:b].any():
                         own = np.concatenate([own[~late[a:b]], own[late[a:b]]])
@@ -127,6 +138,40 @@ def _shared(rows: DataFrame, key: str, node: str) -> DataFrame:
     return rows.groupBy(key).agg(F.min(node).alias("a"), F.max(node).alias("b")).where("a <> b").select(key)
 
 
+def _sharing(posted: DataFrame, percent: int) -> DataFrame:
+    """Rows of ``posted`` whose n-gram another set has too, one of a fitting size where there are just two."""
+    both = posted.groupBy("gram").agg(*[f(c).alias(f"{name}_{c}") for c in ("fp", "n") for name, f in (("low", F.min), ("high", F.max))], F.count(F.lit(1)).alias("c"))
+    kept = both.where("low_fp <> high_fp").where((F.col("c") > 2) | (100 * F.col("low_n") >= percent * F.col("high_n")))
+    return posted.join(kept.select("gram"), "gram")
+
+
+def live_postings(posted: DataFrame, percent: int) -> DataFrame:
+    """(gram, fp, n) of sets that share enough of their first n-grams to be alike to any other set.
+
+    A set alike to one of ``n`` n-grams has ``percent`` of ``n`` at least, so it shares ``least_shared`` of that.
+    """
+    live = written(_sharing(posted, percent).distinct(), "postings")
+    for _ in range(ROUNDS):
+        needed = 1 + F.floor(F.ceil(F.col("n") * percent / 100) / SHARED_SHARE)
+        enough = live.groupBy("fp", "n").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= needed).select("fp")
+        live = written(_sharing(live.join(enough, "fp"), percent).select("gram", "fp", "n"), "postings")
+    return live
+
+
+def wanted_map(keys: DataFrame, key: str) -> np.ndarray:
+    """A bitmap of ``MAP_BITS`` bits in which every key's bit is set; its size does not depend on the number of keys."""
+    word = F.shiftright(F.col(key).bitwiseAND(F.lit((1 << MAP_BITS) - 1)), 6).alias("word")
+    parts = keys.groupBy(word).agg(F.expr(f"bit_or(shiftleft(1L, CAST({key} & 63 AS INT)))").alias("bits")).toPandas()
+    out = np.zeros(1 << (MAP_BITS - 6), np.int64)
+    out[parts["word"].to_numpy(np.int64)] = parts["bits"].to_numpy(np.int64)
+    return out.view(np.uint64)
+
+
+def is_wanted(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    bit = keys.view(np.uint64) & np.uint64((1 << MAP_BITS) - 1)
+    return (bits[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) != 0
+
+
 def blocks(live: DataFrame) -> DataFrame:
     """(fp, gram, part): each set goes to the n-gram that it shares with most others, split into parts of bounded size."""
     counts = live.groupBy("gram").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("total"))
@@ -147,25 +192,30 @@ def _set(value: bytes) -> np.ndarray:
 
 def clusters(docs: DataFrame, sketch: DataFrame, live: DataFrame, n: int, threshold: Threshold) -> DataFrame:
     """The sets that share a first n-gram with another one, with their cluster; the row where ``fp = cluster`` describes it."""
-    placed = blocks(live)
-    chosen = sketch.join(live.select("fp").distinct(), "fp").groupBy("fp").agg(F.min(F.struct("doc_id", "text_hash")).alias("row"))
-    chosen = chosen.join(placed, "fp").select("gram", "part", F.col("row.doc_id").alias("chosen_id"), F.col("row.text_hash").alias("text_hash"))
-    texts = docs.join(chosen, (docs["text_hash"] == chosen["text_hash"]) & docs["doc_id"].eqNullSafe(chosen["chosen_id"])).select("gram", "part", "text")
+    placed = written(blocks(live), "blocks")
+    hashes = sketch.join(placed.select("fp"), "fp").groupBy("fp").agg(F.min("text_hash").alias("text_hash"))
+    bits = docs.sparkSession.sparkContext.broadcast(wanted_map(hashes, "text_hash"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            for texts_ in words.slices(batch.column(2)):
-                value, first = words.gram_sets(words.words(texts_, lower=True), n)
+            hashes = batch.column(1).to_numpy()
+            wanted = is_wanted(bits.value, hashes)
+            new = [k for k in np.flatnonzero(wanted).tolist() if hashes[k] not in seen]
+            seen.update(hashes[k] for k in new)
+            if len(seen) > REMEMBERED:
+                seen = set()
+            if not new:
+                continue
+            for texts in words.slices(batch.column(2).take(pa.array(new))):
+                value, first = words.gram_sets(words.words(texts, lower=True), n)
                 cut = [value[a:b].tobytes() for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [*[batch.column(k).slice(texts_.first, len(texts_)) for k in (0, 1)], pa.array(fingerprints(value, first)), pa.array(cut, pa.binary())],
-                    ["gram", "part", "fp", "grams"],
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(fingerprints(value, first)), pa.array(cut, pa.binary())], ["fp", "grams"])
 
     def group(whole: pa.Table) -> Iterator[pa.RecordBatch]:
         for a, b in runs(whole, ["gram", "part"]):
             part = whole.slice(a, b - a)
-            fp, at = np.unique(part.column("fp").to_numpy(), return_index=True)  # copies of the chosen row
+            fp, at = np.unique(part.column("fp").to_numpy(), return_index=True)  # sent by several tasks
             kept = part.column("grams").take(pa.array(at))
             own = [_set(x.as_py()) for x in kept]
             labels = linked_groups(own, threshold)
@@ -185,7 +235,8 @@ def clusters(docs: DataFrame, sketch: DataFrame, live: DataFrame, n: int, thresh
                 ["fp", "cluster", "n", "grams", "low", "high", "beyond", "bits"],
             )
 
-    return by_runs(by_batches(texts, sets, "gram long, part long, fp long, grams binary"), ["gram", "part"], group, _MEMBER, rows=2_000)
+    gathered = by_batches(docs, sets, "fp long, grams binary").join(placed, "fp").select("gram", "part", "fp", "grams")
+    return by_runs(gathered, ["gram", "part"], group, _MEMBER, rows=2_000)
 
 
 def _take(nodes: Nodes, order: np.ndarray) -> Nodes:
@@ -284,8 +335,7 @@ def linked_documents(
     threshold = Threshold(percent)
     texts = _texts(docs, id_column, text_column)
     sketch = written(sketches(texts, words_per_gram, threshold, frequent_grams(texts, words_per_gram)), "sketches")
-    posted = postings(sketch)
-    live = written(posted.join(_shared(posted, "gram", "fp"), "gram").distinct(), "postings")
+    live = live_postings(postings(sketch), percent)
     member = written(clusters(texts, sketch, live, words_per_gram, threshold), "members")
     node = member.where("fp = cluster").select("cluster", *_NODE)
     met = live.select("gram", "fp").join(member.select("fp", "cluster"), "fp").select("gram", "cluster").distinct()
