@@ -27,8 +27,8 @@ from recordloom.llm.tables import by_batches, by_runs, written
 
 #: Bytes of an anchor's gram.
 GRAM = 32
-#: Text whose repeated contexts a task drops before sending.
-SLICE = 16 << 20
+#: Contexts whose suffixes are put in order at once; they take some hundred bytes of memory for each of their bytes.
+CONTEXT_ROWS = 3_000
 #: Bytes of text for a partition of anchors, about; they take some 50 MB.
 BUCKET_BYTES = 48 << 20
 #: An anchor with more contexts than this is compared window by window.
@@ -93,7 +93,7 @@ def _first_and_later(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _anchor_rows(rows: DataFrame, length: int, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for texts in words.slices(batch.column(2), SLICE):
+            for texts in words.slices(batch.column(2)):
                 doc = np.asarray(batch.column(0))[texts.first : texts.first + len(texts)]
                 tie = np.asarray(batch.column(1))[texts.first : texts.first + len(texts)]
                 own = anchors(texts.data, texts.offsets, length, GRAM)
@@ -262,7 +262,7 @@ def _repeats_of_contexts(asked: DataFrame, length: int) -> DataFrame:
             rows = list(_spans(*(np.concatenate(x) for x in (docs, ties, starts, ends))))
         yield _batch(rows, _SPAN)
 
-    return by_runs(asked.where("many = 0").select("key", "doc", "tie", "low", "data"), ["key"], group, _FOUND)
+    return by_runs(asked.where("many = 0").select("key", "doc", "tie", "low", "data"), ["key"], group, _FOUND, rows=CONTEXT_ROWS)
 
 
 def _repeats_of_windows(asked: DataFrame, length: int) -> DataFrame:

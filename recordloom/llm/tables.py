@@ -65,7 +65,7 @@ def by_runs(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         n = 0
-        for batch in batches:
+        for batch in (b.slice(at, rows) for b in batches for at in range(0, b.num_rows, rows)):
             held.append(batch)
             n += batch.num_rows
             if n < rows:
