@@ -7,12 +7,10 @@ it, follows from the bits, by counting masks; no text is read again.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -175,23 +173,8 @@ def ablation(book: DataFrame, policy: int) -> DataFrame:
 
 
 def apply_policy(docs: DataFrame, policy: int, *, text_column: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose text passes a version of the policy.
-
-    One pass without a shuffle: only a boolean joins each row, computed from the same ledger bits.
-    """
-    fields = docs.columns
-    wanted = mask(POLICIES[policy])
-
-    @F.pandas_udf("struct<" + ", ".join(f"{m}: bigint" for m in MEASURES) + ">")
-    def measured(column):  # type: ignore[no-untyped-def]
-        found = [measure(t) for t in words.slices(pa.array(column, pa.string(), from_pandas=True))]
-        return pd.DataFrame({m: np.concatenate([f[m] for f in found]).astype(np.int64) if found else np.zeros(0, np.int64) for m in MEASURES})
-
-    place = f"__measures_{len(fields)}"
-    inner = docs.withColumn(place, measured(F.col(text_column).cast("string")))
-    bits = [f"CAST({_of(rule.condition, place)} AS BIGINT) * {1 << k}L" for k, rule in enumerate(RULES)]
-    return inner.where(F.expr(f"(({' + '.join(bits)}) & {wanted}L) = 0")).select(*[F.col(f"`{c}`") for c in fields])
-
-
-def _of(condition: str, place: str) -> str:
-    return "(" + re.sub(r"\b(" + "|".join(MEASURES) + r")\b", rf"{place}.\1", condition) + ")"
+    """The rows of ``docs``, with all their columns, whose text passes a version of the policy, in one pass without a shuffle."""
+    names = docs.columns
+    carried = docs.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)], F.col(f"`{text_column}`").cast("string").alias("text"))
+    book = ledger(carried, id_columns=[f"c{k}" for k in range(len(names))], text_column="text")
+    return book.where(passes(policy)).select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(names)])

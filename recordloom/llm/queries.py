@@ -33,13 +33,13 @@ def _package() -> str:
     return path
 
 
-def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    """The query, with this package sent to the executors first."""
+def shipped[**P](query: Callable[P, DataFrame]) -> Callable[P, DataFrame]:
+    """The query, whose first argument is the session, with this package sent to the executors first."""
 
     @functools.wraps(query)
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        spark.sparkContext.addPyFile(_package())
-        return query(spark, folder)
+    def run(*args: P.args, **options: P.kwargs) -> DataFrame:
+        args[0].sparkContext.addPyFile(_package())  # type: ignore[attr-defined]
+        return query(*args, **options)
 
     return run
 
