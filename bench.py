@@ -82,11 +82,11 @@ def main() -> None:
         "lsoa_multisource": lambda: q.long_rows(spark, SF_DIR, "lsoa"),
         "covid_positive": lambda: q.long_rows(spark, SF_DIR, "covid_positive"),
         "date_of_birth_individual": lambda: rl.select_date_of_birth(
-            saved("date_of_birth"), max_date_of_birth=LAST_DAY, equal_rows="few", **last
+            saved("date_of_birth"), max_date_of_birth=LAST_DAY, **last
         ),
-        "sex_individual": lambda: rl.select_sex(saved("sex"), equal_rows="none", **last),
-        "ethnicity_individual": lambda: rl.select_ethnicity(saved("ethnicity"), equal_rows="none", **last),
-        "lsoa_individual": lambda: rl.select_lsoa(saved("lsoa"), equal_rows="none", **last),
+        "sex_individual": lambda: rl.select_sex(saved("sex"), **last),
+        "ethnicity_individual": lambda: rl.select_ethnicity(saved("ethnicity"), **last),
+        "lsoa_individual": lambda: rl.select_lsoa(saved("lsoa"), **last),
         "select_records_orders": lambda: q.QUERIES["select_records_orders"](spark, SF_DIR),
         "inclusion_flowchart": lambda: q.QUERIES["inclusion_flowchart"](spark, SF_DIR),
         "inclusion_filtered": lambda: q.QUERIES["inclusion_filtered"](spark, SF_DIR),
@@ -108,33 +108,35 @@ def main() -> None:
     }
 
     if os.environ.get("BENCH_SHAPES"):
+        within = "{} between date '{}' and date '" + LAST_DAY + "'"
+        dated = within.format("record_date", "1900-01-01")
         rank = rl.lookup(F.col("data_source"), q._PRIORITY)
         priority = [rank.asc_nulls_last(), F.col("record_date").desc()]
         eth = [c for c in saved("ethnicity").columns if c.startswith("ethnicity")]
         usual = {
             "date_of_birth_individual": lambda: three_windows(
-                saved("date_of_birth").filter("record_date >= date_of_birth"),
+                saved("date_of_birth").filter(f"record_date >= date_of_birth and {within.format('record_date', '1900-01-01')} and {within.format('date_of_birth', '1880-01-01')}"),
                 ["date_of_birth"],
                 "date_of_birth",
                 priority,
                 {"a": "date_of_birth", "b": "data_source"},
             ),
             "sex_individual": lambda: three_windows(
-                saved("sex").filter("sex is not null"),
+                saved("sex").filter(f"sex is not null and {dated}"),
                 ["sex_code", "sex"],
                 "sex",
                 priority,
                 {"a": "sex_code", "b": "sex", "c": "data_source"},
             ),
             "ethnicity_individual": lambda: three_windows(
-                saved("ethnicity").filter("ethnicity_18_code not in ('', 'X', 'Z', '99')"),
+                saved("ethnicity").filter(f"ethnicity_18_code not in ('', 'X', 'Z', '99') and {dated}"),
                 eth,
                 "ethnicity_18_group",
                 priority,
                 {"a": "ethnicity_18_group", "b": "data_source", "c": "ethnicity_5_group", "d": "data_source"},
             ),
             "lsoa_individual": lambda: three_windows(
-                saved("lsoa"), ["lsoa"], "lsoa", priority[::-1], {"a": "lsoa", "b": "data_source"}
+                saved("lsoa").filter(dated), ["lsoa"], "lsoa", priority[::-1], {"a": "lsoa", "b": "data_source"}
             ),
             "inclusion_flowchart": lambda: unpivoted_flowchart(q.cohort(spark, SF_DIR), q.CRITERIA),
         }

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -34,15 +33,21 @@ def query(name: str, sql: str | None = None):
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder below the shared checkpoint folder of the session, or a temporary one in local tests."""
+    """A new folder in the session's checkpoint folder or, where none is set, beside its warehouse: never on a machine of its own."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.checkpoint.location", None)
-    if shared:
-        return f"{shared.rstrip('/')}/recordloom-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix="recordloom-")
+    shared = shared or spark.sparkContext.getCheckpointDir() or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    return f"{shared.rstrip('/')}/recordloom-{uuid.uuid4().hex}"
 
 
-def scratch_database(spark: SparkSession) -> str:
-    name = f"recordloom_{uuid.uuid4().hex[:12]}"
+# The scratch database of each query's last run, dropped when the query runs again.
+_LAST_DATABASE: dict[str, str] = {}
+
+
+def scratch_database(spark: SparkSession, of: str) -> str:
+    """A new database for the tables that a query saves; the result is read from it later, so it outlives the call."""
+    if of in _LAST_DATABASE:
+        spark.sql(f"DROP DATABASE IF EXISTS {_LAST_DATABASE.pop(of)} CASCADE")
+    name = _LAST_DATABASE[of] = f"recordloom_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch(spark)}/{name}'")
     return name
 
@@ -158,6 +163,18 @@ def top_dense_rank_global(spark, sf):
     return rl.first_dense_rank(_orders_by_month(spark, sf), 3, order_by="month", return_index_column=True)
 
 
+@query(
+    "top_rank_global_computed_key",
+    f"""select o_orderkey, o_custkey, cast(month as varchar) as month, rank_index from (
+            select o_orderkey, o_custkey, {_MONTHS} as month,
+                   cast(rank() over (order by year({_MONTHS}) desc, o_custkey % 100) as int) as rank_index from orders)
+        where rank_index <= 50""",
+)
+def top_rank_global_computed_key(spark, sf):
+    order = [F.year("month").desc(), "o_custkey % 100"]
+    return rl.first_rank(_orders_by_month(spark, sf), 50, order_by=order, return_index_column=True)
+
+
 @query(
     "seeded_order",
     """select o_orderkey, o_custkey from orders
@@ -194,20 +211,20 @@ def _sex_selection(rows: str, where: str = _BETWEEN, priority: dict | None = _PR
     return o.selection_sql(rows, ["sex_code", "sex"], _SEX_TIES, where, priority, ["sex_code", "sex"])
 
 
+def _orders_long(spark, sf, person=None) -> DataFrame:
+    """Orders as a multi-source table with many equal rows."""
+    return table(spark, sf, "orders").select(
+        (F.col("o_custkey").cast("string") if person is None else person).alias("person_id"),
+        F.expr("cast(date_trunc('quarter', o_orderdate) as date) as record_date"),
+        F.col("o_orderstatus").alias("sex_code"),
+        F.col("o_orderstatus").alias("sex"),
+        F.expr(f"{_SOURCE_OF_ORDER} as data_source"),
+    )
+
+
 @query("select_records_orders", _sex_selection(_ORDERS_LONG))
 def select_records_orders(spark, sf):
-    """The selection over orders as a multi-source table with many equal rows."""
-    orders = table(spark, sf, "orders")
-    return rl.select_sex(
-        orders.selectExpr(
-            "cast(o_custkey as string) as person_id",
-            "cast(date_trunc('quarter', o_orderdate) as date) as record_date",
-            "o_orderstatus as sex_code",
-            "o_orderstatus as sex",
-            f"{_SOURCE_OF_ORDER} as data_source",
-        ),
-        max_record_date=_LAST_DAY,
-    )
+    return rl.select_sex(_orders_long(spark, sf), max_record_date=_LAST_DAY)
 
 
 CODELISTS = {
@@ -253,12 +270,12 @@ _DOB_TIES = [
 ]
 
 
-@query(
-    "dob_individual",
-    o.selection_sql(
-        o.long_table("date_of_birth"), ["date_of_birth"], _DOB_TIES, _DOB_WHERE, _PRIORITY, ["date_of_birth"]
-    ),
+_DOB_SELECTION = o.selection_sql(
+    o.long_table("date_of_birth"), ["date_of_birth"], _DOB_TIES, _DOB_WHERE, _PRIORITY, ["date_of_birth"]
 )
+
+
+@query("dob_individual", _DOB_SELECTION)
 def dob_individual(spark, sf):
     rows = long_rows(spark, sf, "date_of_birth")
     return rl.select_date_of_birth(rows, max_record_date=_LAST_DAY, max_date_of_birth=_LAST_DAY)
@@ -266,7 +283,7 @@ def dob_individual(spark, sf):
 
 @query("sex_individual", _sex_selection(o.long_table("sex")))
 def sex_individual(spark, sf):
-    return rl.select_sex(long_rows(spark, sf, "sex"), max_record_date=_LAST_DAY, equal_rows="none")
+    return rl.select_sex(long_rows(spark, sf, "sex"), max_record_date=_LAST_DAY)
 
 
 @query(
@@ -284,7 +301,6 @@ def sex_individual_chosen_sources(spark, sf):
         max_record_date="2001-01-01",
         filter_data_sources=["hes_apc", "hes_op", "ssnap"],
         priority_index={"ssnap": 1, "hes_op": 2},
-        equal_rows="none",
     )
 
 
@@ -301,20 +317,20 @@ _ETHNICITY_TIES = [
 ]
 
 
-@query(
-    "ethnicity_individual",
-    o.selection_sql(
-        o.long_table("ethnicity"),
-        [c for c in o.COLUMNS["ethnicity"] if c.startswith("ethnicity_")],
-        _ETHNICITY_TIES,
-        f"ethnicity_18_code is not null and ethnicity_18_code not in ('', 'X', 'Z', '99') and {_BETWEEN}",
-        {"gdppr_snomed": 1, "gdppr": 2, "hes_apc": 3, "hes_op": 4, "hes_ae": 4},
-        ["ethnicity_18_code", "ethnicity_18_group", "ethnicity_5_group"],
-    ),
+_ETHNICITY_SELECTION = o.selection_sql(
+    o.long_table("ethnicity"),
+    [c for c in o.COLUMNS["ethnicity"] if c.startswith("ethnicity_")],
+    _ETHNICITY_TIES,
+    f"ethnicity_18_code is not null and ethnicity_18_code not in ('', 'X', 'Z', '99') and {_BETWEEN}",
+    {"gdppr_snomed": 1, "gdppr": 2, "hes_apc": 3, "hes_op": 4, "hes_ae": 4},
+    ["ethnicity_18_code", "ethnicity_18_group", "ethnicity_5_group"],
 )
+
+
+@query("ethnicity_individual", _ETHNICITY_SELECTION)
 def ethnicity_individual(spark, sf):
     rows = long_rows(spark, sf, "ethnicity")
-    return rl.select_ethnicity(rows, max_record_date=_LAST_DAY, equal_rows="none")
+    return rl.select_ethnicity(rows, max_record_date=_LAST_DAY)
 
 
 def _lsoa_selection(priority: dict | None) -> str:
@@ -324,13 +340,13 @@ def _lsoa_selection(priority: dict | None) -> str:
 
 @query("lsoa_individual", _lsoa_selection(_PRIORITY))
 def lsoa_individual(spark, sf):
-    return rl.select_lsoa(long_rows(spark, sf, "lsoa"), max_record_date=_LAST_DAY, equal_rows="none")
+    return rl.select_lsoa(long_rows(spark, sf, "lsoa"), max_record_date=_LAST_DAY)
 
 
 @query("lsoa_individual_no_priority", _lsoa_selection(None))
 def lsoa_individual_no_priority(spark, sf):
     rows = long_rows(spark, sf, "lsoa")
-    return rl.select_lsoa(rows, max_record_date=_LAST_DAY, priority_index=None, equal_rows="none")
+    return rl.select_lsoa(rows, max_record_date=_LAST_DAY, priority_index=None)
 
 
 # Codelists -----------------------------------------------------------------------------------------------------------
@@ -414,6 +430,60 @@ def export_small_csv(spark, sf):
     return rl.read_codelist(spark, f"{folder}/parent/counts")
 
 
+@query(
+    "lookup_named_values",
+    """select c_custkey, n_name as nation, cast(n_regionkey as varchar) as region
+       from customer left join nation on c_nationkey = n_nationkey""",
+)
+def lookup_named_values(spark, sf):
+    """A lookup with named values and whole-number keys, by the table and once more by a dictionary."""
+    lookup = rl.lookup_table(spark, _nation_csv(spark, sf), "code", ["n_name", "n_regionkey"], True, key_type="bigint")
+    customers = rl.map_values(table(spark, sf, "customer").select("c_custkey", "c_nationkey"), lookup, "c_nationkey", "by_table")
+    both = rl.map_values(customers, rl.lookup_mapping(lookup), "c_nationkey", "by_dictionary")
+    return both.selectExpr("c_custkey", "by_table.n_name as nation", "by_dictionary.n_regionkey as region")
+
+
+_DESCRIBED = """select cast(n_nationkey as varchar) as code,
+    case n_nationkey % 5 when 0 then concat('a "', n_name, '" text, more') when 1 then concat(n_name, {newline}, 'next, line')
+         when 2 then concat('00', cast(n_nationkey as varchar)) when 3 then 'NA' else concat({bom}, n_name, ' \\ "') end as description
+    from {nation}"""
+
+
+def _described(spark, sf) -> DataFrame:
+    return spark.sql(_DESCRIBED.format(newline="char(10)", bom="decode(unhex('EFBBBF'), 'UTF-8')", nation="{nation}").replace("varchar", "string").replace("\\", "\\\\"), nation=table(spark, sf, "nation"))
+
+
+@query("export_quoted", _DESCRIBED.format(newline="chr(10)", bom="chr(65279)", nation="nation"))
+def export_quoted(spark, sf):
+    """Quotes, commas, line breaks, leading zeros and words that look like missing values, written and read again."""
+    folder = scratch(spark)
+    spark.createDataFrame([], "x int").write.csv(f"{folder}/parent")
+    rl.export_small_csv(_described(spark, sf), f"{folder}/parent/described")
+    return rl.read_codelist(spark, f"{folder}/parent/described")
+
+
+@query("read_codelist_quoted", _DESCRIBED.format(newline="chr(10)", bom="chr(65279)", nation="nation"))
+def read_codelist_quoted(spark, sf):
+    """The same, from a file with doubled quotes that was put together by hand."""
+    quoted = F.concat(F.lit('"'), F.regexp_replace("description", '"', '""'), F.lit('"'))
+    lines = _described(spark, sf).select(F.concat("code", F.lit(","), quoted).alias("line"))
+    header = spark.range(1).select(F.lit("code,description").alias("line"))
+    folder = scratch(spark)
+    text = header.select(F.lit(0).alias("k"), "line").unionByName(lines.select(F.lit(1).alias("k"), "line"))
+    text.repartition(1).sortWithinPartitions("k").select("line").write.text(folder)
+    return rl.read_codelist(spark, folder)
+
+
+@query("extract_with_wide_codelist", o.multisource_sql("covid_positive", ["hes_apc_any_diagnosis"]))
+def extract_with_wide_codelist(spark, sf):
+    """A codelist with a further column by which its codes repeat."""
+    rows, schema = CODELISTS["infection_icd10"]
+    wide = [(*row, version) for row in rows for version in ("1", "2")]
+    listed = spark.createDataFrame(wide, schema + ", version string")
+    spec = ASSETS["covid_positive"]
+    return rl.extract(view(spark, sf, "hes_apc_diagnosis"), spec, "hes_apc_any_diagnosis", {"infection_icd10": listed})
+
+
 # Cohort --------------------------------------------------------------------------------------------------------------
 
 CRITERIA = {
@@ -474,7 +544,7 @@ def inclusion_flowchart(spark, sf):
 
 @query("inclusion_flowchart_saved", _flowchart_sql())
 def inclusion_flowchart_saved(spark, sf):
-    directory = entries(scratch_database(spark), "flowchart")
+    directory = entries(scratch_database(spark, "flowchart"), "flowchart")
     rl.apply_inclusion_criteria(cohort(spark, sf), CRITERIA, "flowchart", directory=directory)
     return rl.load_table(spark, "flowchart", directory)
 
@@ -588,6 +658,20 @@ def recode_pass_through(spark, sf):
     return rl.recode(orders, {"F": "Finished", "O": None}, "o_orderstatus")
 
 
+# More entries than anyone would write out, by a rule; values of two number types and nulls.
+_LARGE_MAP = {k: None if k % 10 == 0 else k / 2 if k % 3 == 0 else k for k in range(1, 1001)}
+
+
+@query(
+    "map_values_large",
+    """select o_orderkey, o_custkey, case when o_custkey % 10 = 0 or o_custkey > 1000 then null
+              when o_custkey % 3 = 0 then o_custkey / 2.0e0 else cast(o_custkey as double) end as mapped from orders""",
+)
+def map_values_large(spark, sf):
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    return rl.map_values(orders, _LARGE_MAP, "o_custkey", "mapped")
+
+
 # Dates and filters ---------------------------------------------------------------------------------------------------
 
 
@@ -792,7 +876,7 @@ def demographics_new_versions(spark, sf):
 
 @query("save_and_reload", f"{_GDPPR} where archived_on = (select max(archived_on) from v_gdppr)")
 def save_and_reload(spark, sf):
-    directory = entries(scratch_database(spark), "gdppr")
+    directory = entries(scratch_database(spark, "save_and_reload"), "gdppr")
     directory["gdppr"]["archive_date"] = "latest"
     rl.save_table(_gdppr(spark, sf), "gdppr", directory, partition_by="archived_on")
     return rl.load_table(spark, "gdppr", directory)
@@ -801,7 +885,7 @@ def save_and_reload(spark, sf):
 @query("update_demographics", _DEMOGRAPHICS)
 def update_demographics(spark, sf):
     """A snapshot of the older version, then an update that adds the newer one and an update with nothing to add."""
-    directory = entries(scratch_database(spark), "gdppr_all_versions", "gdppr_demographics_all_versions")
+    directory = entries(scratch_database(spark, "update_demographics"), "gdppr_all_versions", "gdppr_demographics_all_versions")
     rows = view(spark, sf, "gdppr_demographics")
     rl.save_table(rl.up_to_version(rows, "1998-01-01"), "gdppr_all_versions", directory, "archived_on")
     rl.update_demographics(spark, directory)
@@ -811,22 +895,81 @@ def update_demographics(spark, sf):
     return rl.load_table(spark, "gdppr_demographics_all_versions", directory)
 
 
-@query("sex_built_and_saved", _sex_selection(o.long_table("sex")))
-def sex_built_and_saved(spark, sf):
+def _as_delivered(df: DataFrame, name: str) -> DataFrame:
+    """Vaccination dates come as digits; all other tables are delivered like the views."""
+    if name != "vaccine_status":
+        return df
+    unknown = F.lit(None).cast("string")
+    return df.withColumns({"recorded_date": F.date_format("recorded_date", "yyyyMMdd"), "expiry_date": unknown, "date_and_time": unknown})
+
+
+def _built_and_saved(spark, sf, asset: str, bounds: dict, **options) -> DataFrame:
     """From saved source tables to the saved individual table, by table keys."""
-    tables = sorted({spec.table for spec in ASSETS["sex"].sources.values()})
-    directory = entries(scratch_database(spark), *tables, "sex_multisource", "sex_individual")
+    tables = sorted({spec.table for spec in ASSETS[asset].sources.values()})
+    directory = entries(scratch_database(spark, f"{asset}{sorted(options)}"), *tables, f"{asset}_multisource", f"{asset}_individual")
     for name in tables:
-        rl.save_table(view(spark, sf, name), name, directory)
-    rl.build_multisource(spark, "sex", directory)
-    rl.build_individual(spark, "sex", directory, bounds={"record_date": ("1900-01-01", _LAST_DAY)})
+        rl.save_table(_as_delivered(view(spark, sf, name), name), name, directory)
+    rl.build_multisource(spark, asset, directory, codelists=options.get("codelists"))
+    rl.build_individual(spark, asset, directory, bounds=bounds)
+    return rl.load_table(spark, f"{asset}_individual", directory)
+
+
+_RECORD_BOUNDS = {"record_date": ("1900-01-01", _LAST_DAY)}
+
+
+@query("sex_built_and_saved", _sex_selection(o.long_table("sex")))
+def sex_built_and_saved(spark, sf):
+    return _built_and_saved(spark, sf, "sex", _RECORD_BOUNDS)
+
+
+@query("lsoa_built_and_saved", _lsoa_selection(_PRIORITY))
+def lsoa_built_and_saved(spark, sf):
+    return _built_and_saved(spark, sf, "lsoa", _RECORD_BOUNDS)
+
+
+@query("dob_built_and_saved", _DOB_SELECTION)
+def dob_built_and_saved(spark, sf):
+    return _built_and_saved(spark, sf, "date_of_birth", _RECORD_BOUNDS | {"date_of_birth": ("1880-01-01", _LAST_DAY)})
+
+
+# A mapping of some hundred codes, by a rule: the codes of the view and others that occur nowhere.
+_LONG_MAPPING = o.SNOMED_ETHNICITY + [(str(500_000_000 + 7 * i), f"Group {i}", "ABCDEFGHJKLMNPRSZ"[i % 17]) for i in range(450)]
+
+
+@query("ethnicity_built_and_saved", _ETHNICITY_SELECTION)
+def ethnicity_built_and_saved(spark, sf):
+    mapping = spark.createDataFrame(_LONG_MAPPING, CODELISTS["ethnicity_snomed"][1])
+    return _built_and_saved(spark, sf, "ethnicity", _RECORD_BOUNDS, codelists={"ethnicity_snomed": mapping})
+
+
+@query("equal_rows_built_and_saved", _sex_selection(_ORDERS_LONG))
+def equal_rows_built_and_saved(spark, sf):
+    """A long table of other origin, with many equal rows, through the default selection."""
+    directory = entries(scratch_database(spark, "equal_rows"), "sex_multisource", "sex_individual")
+    rl.save_table(_orders_long(spark, sf), "sex_multisource", directory)
+    rl.build_individual(spark, "sex", directory, bounds=_RECORD_BOUNDS)
     return rl.load_table(spark, "sex_individual", directory)
 
 
+_HOT_ROWS = _ORDERS_LONG.replace("cast(o_custkey as string) as person_id", "case when o_orderkey % 3 = 0 then 'hot' else cast(o_custkey as string) end as person_id")
+
+
+@query("hot_person_selected", _sex_selection(_HOT_ROWS))
+def hot_person_selected(spark, sf):
+    """One person holds a third of all rows."""
+    hot = F.when(F.col("o_orderkey") % 3 == 0, "hot").otherwise(F.col("o_custkey").cast("string"))
+    return rl.select_sex(_orders_long(spark, sf, hot), max_record_date=_LAST_DAY)
+
+
+@query("sex_individual_until_today", _sex_selection(o.long_table("sex"), "record_date >= date '1900-01-01' and record_date <= current_date"))
+def sex_individual_until_today(spark, sf):
+    return rl.select_sex(long_rows(spark, sf, "sex"))
+
+
 @query("covid_positive_built_and_saved", o.multisource_sql("covid_positive"))
 def covid_positive_built_and_saved(spark, sf):
     tables = sorted({spec.table for spec in ASSETS["covid_positive"].sources.values()})
-    directory = entries(scratch_database(spark), *tables, "covid_positive")
+    directory = entries(scratch_database(spark, "covid_positive"), *tables, "covid_positive")
     for name in tables:
         rl.save_table(view(spark, sf, name), name, directory)
     rl.build_covid_positive(spark, directory, codelists={"infection_icd10": codelists(spark)["infection_icd10"]})

@@ -45,9 +45,7 @@ def main(sf_dir: str = "/root/testdata/sf0.1", copies: str = "10") -> None:
     long = rows.drop("row_id")
     cohort = rows.withColumn("person_id", F.nullif("person_id", F.lit("hot")))
     for _ in range(2):  # the first round warms up
-        run("selection, equal rows many", lambda: rl.select_sex(long, equal_rows="many"))
-        run("selection, equal rows few", lambda: rl.select_sex(long, equal_rows="few"))
-        run("distinct, then selection, equal rows none", lambda: rl.select_sex(long.distinct(), equal_rows="none"))
+        run("selection", lambda: rl.select_sex(long))
         run("flowchart", lambda: rl.inclusion_flowchart(rl.flag_inclusion(cohort, criteria), criteria))
         run("flowchart, usual shape", lambda: unpivoted_flowchart(cohort, criteria))
         ranked = {"partition_by": "person_id", "order_by": "record_date desc"}

@@ -17,10 +17,10 @@ def read_codelist(
 ) -> DataFrame:
     """CSV with a header, every column as text so that codes keep their digits and leading zeros.
 
-    Empty fields stay empty text, as in the reference data where ``''`` is a value; ``keep_empty=False`` makes them
+    A quote inside a quoted field is doubled, as usual in CSV. Empty fields stay empty text, as in the reference data where ``''`` is a value; ``keep_empty=False`` makes them
     null. ``columns`` selects by name from the header.
     """
-    options = {"header": "true", "inferSchema": "false", "enforceSchema": "false", "multiLine": "true"} | options
+    options = {"header": "true", "inferSchema": "false", "enforceSchema": "false", "multiLine": "true", "escape": '"'} | options
     df = spark.read.options(**options).csv(path)
     if columns is not None:
         df = df.select(*columns)
@@ -37,10 +37,12 @@ def lookup_table(
     key: str,
     values: str | Sequence[str],
     retain_column_names: bool = False,
+    key_type: str = "string",
 ) -> DataFrame:
-    """Lookup from a CSV with a unique key: columns ``key`` and ``value``, both text.
+    """Lookup from a CSV with a unique key: columns ``key``, of ``key_type``, and ``value``, text.
 
-    Several value columns give a struct when ``retain_column_names`` is set, an array otherwise.
+    Several value columns give a struct when ``retain_column_names`` is set, an array otherwise. ``map_values`` takes
+    such a lookup of any size.
     """
     names = [values] if isinstance(values, str) else list(values)
     table = read_codelist(spark, path, keep_empty=False)
@@ -50,14 +52,15 @@ def lookup_table(
         value = F.col(names[0])
     else:
         value = F.struct(*names) if retain_column_names else F.array(*names)
-    return table.select(F.col(key).alias("key"), value.alias("value"))
+    return table.select(F.col(key).cast(key_type).alias("key"), value.alias("value"))
 
 
-def lookup_mapping(table: DataFrame, max_rows: int = 10_000) -> dict:
-    """A small lookup (columns ``key`` and ``value``) as a dictionary for ``map_values`` and ``recode``."""
-    rows = table.select("key", "value").limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"The lookup has more than {max_rows} rows; join it instead.")
+def lookup_mapping(table: DataFrame) -> dict:
+    """A whole lookup (columns ``key`` and ``value``) as a dictionary on the driver.
+
+    ``map_values`` takes the lookup as it is, without the way over the driver.
+    """
+    rows = table.select("key", "value").collect()
     return {r["key"]: r["value"].asDict() if isinstance(r["value"], T.Row) else r["value"] for r in rows}
 
 

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from recordloom.operators.codelists import BROADCAST_ROWS
+
 _METHODS = {"row_number": F.row_number, "rank": F.rank, "dense_rank": F.dense_rank}
-_ORDER_TEXT = re.compile(r"^\s*`?([A-Za-z_]\w*)`?(?:\s+(asc|desc))?(?:\s+nulls\s+(first|last))?\s*$", re.IGNORECASE)
+_ORDER_TEXT = re.compile(r"^\s*(.+?)(?:\s+(asc|desc))?(?:\s+nulls\s+(first|last))?\s*$", re.IGNORECASE | re.DOTALL)
 
 OrderKey = str | Column
 
@@ -21,25 +23,35 @@ def _listed(items: str | Column | Sequence | None) -> list:
     return [items] if isinstance(items, (str, Column)) else list(items)
 
 
-def _order_parts(key: OrderKey) -> tuple[str, str] | None:
-    """Column name and Column method for an order key on a plain column, None for anything else."""
-    text = key if isinstance(key, str) else re.sub(r"^Column<'(.*)'>$", r"\1", str(key))
-    match = _ORDER_TEXT.match(text)
-    if match is None:
-        return None
-    direction = (match[2] or "asc").lower()
-    nulls = (match[3] or ("first" if direction == "asc" else "last")).lower()
-    return match[1], f"{direction}_nulls_{nulls}"
-
+def _order_parts(key: OrderKey, columns: Collection[str] = ()) -> tuple[Column, str]:
+    """The value to order by, and the Column method that gives its direction.
 
-def order_column(key: OrderKey, named: str | None = None) -> Column:
+    Text is a column name, or SQL, with an optional direction. Of a Column such as ``F.col('x').desc()`` the value and the
+    direction are taken from its expression; a Column without direction ascends.
+    """
+    if isinstance(key, str):
+        match = _ORDER_TEXT.match(key)
+        if key in columns or match is None:
+            return F.col(f"`{key}`"), "asc_nulls_first"
+        value, direction, nulls = match[1], (match[2] or "asc").lower(), match[3]
+        nulls = (nulls or ("first" if direction == "asc" else "last")).lower()
+        return F.col(f"`{value}`") if value in columns else F.expr(value), f"{direction}_nulls_{nulls}"
+    node = key._jc.node()
+    if node.getClass().getSimpleName() != "SortOrder":
+        return key, "asc_nulls_first"
+    jvm = SparkSession.active()._jvm
+    value = type(key)(jvm.org.apache.spark.sql.Column(node.child()))
+    direction = "asc" if "Asc" in node.sortDirection().toString() else "desc"
+    nulls = "first" if "First" in node.nullOrdering().toString() else "last"
+    return value, f"{direction}_nulls_{nulls}"
+
+
+def order_column(key: OrderKey) -> Column:
     """Sort column for ``'name'``, ``'name desc nulls last'`` or a Column."""
-    if isinstance(key, Column) and named is None:
+    if isinstance(key, Column):
         return key
-    parts = _order_parts(key)
-    if parts is None:
-        return F.col(key)
-    return getattr(F.col(named or parts[0]), parts[1])()
+    value, method = _order_parts(key)
+    return getattr(value, method)()
 
 
 def top_rows(
@@ -60,8 +72,8 @@ def top_rows(
     Per group, Spark drops rows beyond rank ``n`` in every task before the shuffle, so a large group shrinks to
     its candidates first. What it cannot shrink are rows that tie within the first ``n``: with ``heavy_ties`` the
     ranks are worked out on counted distinct keys and joined back, and adaptive execution may split a hot key
-    over many tasks. The same way serves ranks over a whole table, where the keys to join back are at most ``n``.
-    It needs order keys on plain columns; computed keys are ranked by the window.
+    over many tasks. That costs a shuffle more, which most groups do not repay, so it is the caller's choice. Ranks
+    over a whole table always go this way, where the keys to join back are at most ``n``.
     """
     if method not in _METHODS:
         raise ValueError(f"Unknown method {method!r}; allowed are {', '.join(_METHODS)}.")
@@ -71,13 +83,12 @@ def top_rows(
     if not keys:
         raise ValueError("order_by is required.")
 
-    by_name = all(_order_parts(key) for key in keys) and all(isinstance(group, str) for group in groups)
     if method == "row_number" and not groups:
         # A bounded sort; what remains has n rows.
         indexed = df.orderBy(*map(order_column, keys)).limit(n)
         if return_index_column:
             indexed = indexed.withColumn(index_column_name, F.row_number().over(_window([], keys)))
-    elif method != "row_number" and by_name and (heavy_ties or not groups):
+    elif method != "row_number" and (heavy_ties or not groups):
         indexed = _ranked_by_distinct_key(df, method, n, groups, keys, index_column_name)
     else:
         index = _METHODS[method]().over(_window(groups, keys))
@@ -91,16 +102,18 @@ def _window(groups: list, keys: list[OrderKey]):
 
 
 def _ranked_by_distinct_key(
-    df: DataFrame, method: str, n: int, groups: list[str], keys: list[OrderKey], index_name: str
+    df: DataFrame, method: str, n: int, groups: list[str | Column], keys: list[OrderKey], index_name: str
 ) -> DataFrame:
-    names = list(dict.fromkeys(groups + [_order_parts(key)[0] for key in keys]))
-    held = {name: f"__key_{i}" for i, name in enumerate(names)}
-    counted = df.groupBy(*[F.col(name).alias(alias) for name, alias in held.items()]).agg(
-        F.count(F.lit(1)).alias("__rows")
-    )
-    order = [order_column(key, held[_order_parts(key)[0]]) for key in keys]
+    """Order keys and groups become helper columns, so computed ones are ranked like plain ones."""
+    parts = [_order_parts(key, df.columns) for key in keys]
+    held = {f"__group_{i}": F.col(f"`{g}`") if isinstance(g, str) else g for i, g in enumerate(groups)}
+    by_group = list(held)
+    held |= {f"__key_{i}": value for i, (value, _) in enumerate(parts)}
+    keyed = df.withColumns(held)
+    counted = keyed.groupBy(*held).agg(F.count(F.lit(1)).alias("__rows"))
+    order = [getattr(F.col(f"__key_{i}"), direction)() for i, (_, direction) in enumerate(parts)]
     if groups:
-        window = Window.partitionBy(*[held[g] for g in groups]).orderBy(*order)
+        window = Window.partitionBy(*by_group).orderBy(*order)
     else:
         counted = counted.orderBy(*order).limit(n)
         window = Window.orderBy(*order)
@@ -111,9 +124,12 @@ def _ranked_by_distinct_key(
         ahead = F.sum("__rows").over(window.rowsBetween(Window.unboundedPreceding, -1))
         ranked = first.withColumn(index_name, F.coalesce(ahead, F.lit(0)) + 1).filter(F.col(index_name) <= n)
         ranked = ranked.withColumn(index_name, F.col(index_name).cast("int"))
-    ranked = ranked.select(*held.values(), index_name)
-    same = reduce(lambda a, b: a & b, [F.col(name).eqNullSafe(F.col(alias)) for name, alias in held.items()])
-    return df.join(ranked if groups else F.broadcast(ranked), same, "inner").drop(*held.values())
+    ranked = ranked.select(*[F.col(name).alias(f"{name}_of") for name in held], index_name)
+    same = reduce(lambda a, b: a & b, [F.col(name).eqNullSafe(F.col(f"{name}_of")) for name in held])
+    # Over a whole table there are at most n keys to join back.
+    small = not groups and n <= BROADCAST_ROWS
+    joined = keyed.join(F.broadcast(ranked) if small else ranked, same, "inner")
+    return joined.drop(*held, *[f"{name}_of" for name in held])
 
 
 def first_row(df: DataFrame, n: int = 1, partition_by=None, order_by=None, **kwargs) -> DataFrame:

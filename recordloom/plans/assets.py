@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from recordloom.operators.codelists import read_codelist
 from recordloom.plans.selection import SELECTIONS, SelectionSpec, select_records
 from recordloom.sources.codelist_values import packaged_codelist
 from recordloom.sources.extracts import ASSETS, Asset, Codelist, combine_sources, extract, scans
@@ -14,11 +15,22 @@ from recordloom.sources.tables import Directory, load_table, save_table
 _PACKAGED = ("antigen_tests", "infection_snomed")
 
 
-def _codelists(spark: SparkSession, asset: Asset, methods: Sequence[str], given: Mapping[str, DataFrame]) -> dict:
-    """The codelists the sources need: the caller's, checked for size once, else the packaged ones."""
+def _codelists(
+    spark: SparkSession, asset: Asset, methods: Sequence[str], given: Mapping[str, DataFrame | str]
+) -> dict[str, Codelist]:
+    """The codelists the sources need: the caller's (tables or paths of CSV files), checked for size once, else the packaged ones."""
     needed = {asset.sources[m].codelist for m in methods} - {None}
-    lists = {name: Codelist.checked(given[name]) for name in needed if name in given}
-    lists |= {n: Codelist(packaged_codelist(spark, n), True) for n in needed - lists.keys() if n in _PACKAGED}
+    missing = sorted(needed - given.keys() - set(_PACKAGED))
+    if missing:
+        users = [m for m in methods if asset.sources[m].codelist in missing]
+        raise ValueError(f"Sources {', '.join(users)} need codelists that were not given: {', '.join(missing)}.")
+    lists = {}
+    for name in needed:
+        if name not in given:
+            lists[name] = Codelist(packaged_codelist(spark, name), True)
+        else:
+            rows = given[name]
+            lists[name] = Codelist.checked(read_codelist(spark, rows) if isinstance(rows, str) else rows)
     return lists
 
 
@@ -27,13 +39,14 @@ def multisource(
     asset: str | Asset,
     directory: Directory,
     methods: Sequence[str] | None = None,
-    codelists: Mapping[str, DataFrame] | None = None,
+    codelists: Mapping[str, DataFrame | str] | None = None,
 ) -> DataFrame:
     """The long table of an asset over the chosen sources, not saved.
 
-    Codelists by name: ``ethnicity_snomed`` (code, description, ethnic_category) and ``infection_icd10`` (code,
-    description, covid_status) come from the caller; ``antigen_tests`` and ``infection_snomed`` are packaged and
-    may be replaced.
+    Codelists by name, as tables or as paths of CSV files: ``ethnicity_snomed`` (code, description, ethnic_category)
+    and ``infection_icd10`` (code, description, covid_status) come from the caller, as such lists have hundreds of
+    entries and change; ``antigen_tests`` and ``infection_snomed`` are packaged and may be replaced. What is missing is
+    reported before any table is opened.
     """
     asset = ASSETS[asset] if isinstance(asset, str) else asset
     methods = asset.chosen(methods)
@@ -51,7 +64,7 @@ def build_multisource(
     directory: Directory,
     table: str | None = None,
     methods: Sequence[str] | None = None,
-    codelists: Mapping[str, DataFrame] | None = None,
+    codelists: Mapping[str, DataFrame | str] | None = None,
 ) -> None:
     """Save the long table of an asset, by default under the key ``<asset>_multisource``."""
     name = asset if isinstance(asset, str) else asset.name
@@ -63,7 +76,7 @@ def build_covid_positive(
     directory: Directory,
     table: str = "covid_positive",
     methods: Sequence[str] | None = None,
-    codelists: Mapping[str, DataFrame] | None = None,
+    codelists: Mapping[str, DataFrame | str] | None = None,
 ) -> None:
     """Save the positive COVID-19 records of the chosen sources."""
     build_multisource(spark, "covid_positive", directory, table, methods, codelists)
@@ -76,15 +89,12 @@ def build_individual(
     table_multisource: str | None = None,
     table_individual: str | None = None,
     spec: SelectionSpec | None = None,
-    equal_rows: str | None = None,
     **options,
 ) -> None:
     """Select one record per person from a saved long table and save the result.
 
-    Keys default to ``<asset>_multisource`` and ``<asset>_individual``. Options are those of ``select_records``. The
-    long table is taken to be one that ``build_multisource`` made; pass ``equal_rows='many'`` for one of other origin.
+    Keys default to ``<asset>_multisource`` and ``<asset>_individual``. Options are those of ``select_records``.
     """
     spec = spec or SELECTIONS[asset]
     rows = load_table(spark, table_multisource or f"{asset}_multisource", directory)
-    selected = select_records(rows, spec, equal_rows=equal_rows or spec.equal_rows, **options)
-    save_table(selected, table_individual or f"{asset}_individual", directory)
+    save_table(select_records(rows, spec, **options), table_individual or f"{asset}_individual", directory)

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,20 +34,19 @@ def summarise_demographics(records: DataFrame) -> DataFrame:
 
 
 def new_versions(source: DataFrame, existing: DataFrame) -> DataFrame:
-    """Archive versions of the source, as text, that the existing snapshot lacks."""
-    return archive_versions(source).join(archive_versions(existing), VERSION_COLUMN, "left_anti")
+    """Archive versions of the source, as text, that the existing snapshot lacks; a null version is none."""
+    return require(archive_versions(source), [VERSION_COLUMN]).join(archive_versions(existing), VERSION_COLUMN, "left_anti")
+
 
+def _replacing_only_written_partitions(spark: SparkSession) -> SparkSession:
+    """A session over the same catalog for a write that leaves other partitions alone.
 
-@contextmanager
-def _replacing_only_written_partitions(spark: SparkSession) -> Iterator[None]:
-    # The writer option of the same meaning is not honoured by insertInto.
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    The writer option of the same meaning is not honoured by insertInto, and a setting of the caller's session would
+    reach other writes that run meanwhile.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    return own
 
 
 def update_demographics(
@@ -65,9 +61,10 @@ def update_demographics(
 
     The versions are listed once and filtered as literals, so only their partitions are read. Each one replaces its
     own partition, which leaves the others untouched and makes a repeated or interrupted update harmless. A missing
-    target, or ``update_all``, builds every version.
+    target, or ``update_all``, builds every version. Records without a version are in no snapshot, neither in a first
+    build nor in an update.
     """
-    records = load_table(spark, source, directory, method)
+    records = require(load_table(spark, source, directory, method), [VERSION_COLUMN])
     name = qualified_name(target, directory)
     source_restricted = {"archive_date", "max_archive_date"} & {k for k, v in directory[source].items() if v}
     if source_restricted:
@@ -82,10 +79,11 @@ def update_demographics(
     present = set(stored_versions(spark, name))
     missing = [version for version in versions if version not in present]
     if missing:
+        own = _replacing_only_written_partitions(spark)
+        records = load_table(own, source, directory, method)
         kind = records.schema[VERSION_COLUMN].dataType
         wanted = records.filter(F.col(VERSION_COLUMN).isin([F.lit(v).cast(kind) for v in missing]))
         columns = spark.table(name).columns
         added = summarise_demographics(wanted).select(*columns).hint("rebalance", VERSION_COLUMN)
-        with _replacing_only_written_partitions(spark):
-            added.write.mode("overwrite").insertInto(name)
+        added.write.mode("overwrite").insertInto(name)
     return missing

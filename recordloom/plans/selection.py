@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.functions import seeded_order
 from recordloom.operators.filters import exclude_codes, filter_sources, require, within_dates
-from recordloom.operators.top_rows import first_dense_rank
 from recordloom.sources.codelist_values import ETHNICITY_NULL_CODES
 
 SEED = 124910
@@ -54,8 +54,6 @@ class SelectionSpec:
     condition: str | None = None
     # Latest date first and priority second, instead of the reverse.
     recency_first: bool = False
-    # Equal rows in the multi-source table that this library builds; see ``select_records``.
-    equal_rows: str = "none"
 
 
 def _check_priority(priority: Mapping[str, int] | None, sources: Sequence[str]) -> None:
@@ -79,30 +77,17 @@ def _standing(spec: SelectionSpec, priority: Mapping[str, int] | None) -> Column
     return age * (len(ranks) + 1) + rank if spec.recency_first else rank.cast("long") * 2**33 + age
 
 
-def _best_rows(rows: DataFrame, spec: SelectionSpec, priority: Mapping[str, int] | None, equal_rows: str) -> DataFrame:
-    """Each person's best rows, equal ones combined and counted in ``copies``."""
-    key = ["person_id", "data_source", *spec.values]
-    standing = _standing(spec, priority)
-    if equal_rows == "few":
-        best = first_dense_rank(rows, partition_by="person_id", order_by=standing)
-        return best.groupBy(*key, "record_date").agg(F.count(F.lit(1)).cast("int").alias("copies"))
-
-    # A person's best rows are the latest ones of some source and combination of values, so only the latest date of
-    # each combination is kept. The hash aggregation has fixed-size buffers and shrinks the rows map-side; its key
-    # spreads a person with very many rows over the tasks.
-    if equal_rows == "none":
-        latest = rows.groupBy(*key).agg(F.max("record_date").alias("record_date")).withColumn("copies", F.lit(1))
-    else:
-        # Equal rows are counted first, again map-side, so a large group of them is never shuffled.
-        counted = rows.groupBy(*key, "record_date").agg(F.count(F.lit(1)).alias("copies"))
-        latest = counted.groupBy(*key).agg(
-            F.max_by("copies", "record_date").cast("int").alias("copies"), F.max("record_date").alias("record_date")
-        )
-    # A minimum over the person rather than a rank: it needs no order within the person, hence one sort less, and
-    # what a rank limit would drop before the shuffle is gone already.
-    lowest = F.min("standing").over(Window.partitionBy("person_id"))
-    best = latest.withColumn("standing", standing).withColumn("lowest", lowest)
-    return best.filter(F.col("standing") == F.col("lowest")).drop("standing", "lowest")
+def _best_rows(rows: DataFrame, spec: SelectionSpec, priority: Mapping[str, int] | None) -> DataFrame:
+    """Each person's best rows, equal ones combined and counted in ``copies``.
+
+    The best standing of a person is a minimum, combined map-side into a number per person and task. Joined back, it
+    leaves the best rows only, and adaptive execution may split a person with very many rows. Equal rows are then
+    counted map-side, so a large group of them is never shuffled either.
+    """
+    ranked = rows.withColumn("standing", _standing(spec, priority))
+    lowest = ranked.groupBy("person_id").agg(F.min("standing").alias("standing"))
+    best = ranked.join(lowest, ["person_id", "standing"])
+    return best.groupBy("person_id", "data_source", *spec.values, "record_date").agg(F.count(F.lit(1)).cast("int").alias("copies"))
 
 
 def select_records(
@@ -112,7 +97,6 @@ def select_records(
     filter_data_sources: list[str] | None = None,
     priority_index: Mapping[str, int] | None = _DEFAULT,
     null_codes: Mapping[str, Collection[str]] | None = None,
-    equal_rows: str = "many",
     seed: int = SEED,
 ) -> DataFrame:
     """One record per person: best source priority, then latest date (or the reverse), ties reported.
@@ -123,12 +107,9 @@ def select_records(
     of them with their sources, ordered by source and values, repeated as often as they occur; otherwise flag and
     arrays are null. Sources without a priority come last; ``priority_index=None`` gives all sources the same.
 
-    ``equal_rows`` says what is known about equal rows, which only matters for the plan: ``'many'`` assumes nothing
-    and counts them before they are shuffled, ``'few'`` sorts each person's rows in a single shuffle, and ``'none'``
-    promises that no two rows are equal, as in most tables built by ``build_multisource``, and saves the count.
+    Nothing is assumed about equal rows. Only records of persons with a tie to report are gathered in lists; for all
+    others the pick and the flags come from minima and maxima, which hold one record per person.
     """
-    if equal_rows not in ("none", "few", "many"):
-        raise ValueError(f"equal_rows must be 'none', 'few' or 'many', not {equal_rows!r}.")
     priority = spec.priority if priority_index is _DEFAULT else priority_index
     _check_priority(priority, spec.sources)
     usable = require(df, ["person_id", "record_date", *spec.required])
@@ -140,35 +121,29 @@ def select_records(
         usable = within_dates(usable, column, minimum, maximum)
     usable = filter_sources(usable, filter_data_sources, spec.sources)
 
-    best = _best_rows(usable, spec, priority, equal_rows)
+    best = _best_rows(usable, spec, priority)
 
     # Struct order is list order: source, then the ordering values, then the rest.
     fields = ["data_source", *spec.tie_order, *[v for v in spec.values if v not in spec.tie_order]]
-    tied = best.groupBy("person_id").agg(
-        F.max("record_date").alias("record_date"),
-        F.sort_array(F.collect_list(F.struct(*fields, "copies"))).alias("tied"),
+    record = F.struct(*fields)
+    number = seeded_order(seed, F.col("person_id"), F.col("data_source"), *[F.col(v) for v in spec.values])
+    ties = {t.flag: F.when(F.min(t.value) != F.max(t.value), F.lit(1)).alias(t.flag) for t in spec.ties}
+    picked = best.groupBy("person_id").agg(
+        F.max("record_date").alias("record_date"), F.min(F.struct(number.alias("number"), record.alias("record"))).alias("pick"), *ties.values()
     )
 
-    def drawn(record: Column) -> Column:
-        number = seeded_order(seed, F.col("person_id"), record["data_source"], *[record[v] for v in spec.values])
-        return F.struct(number.alias("number"), record.alias("record"))
-
-    lone = F.size("tied") == 1
-    pick = F.when(lone, F.col("tied")[0]).otherwise(F.array_min(F.transform("tied", drawn))["record"])
-    flags = {}
-    for tie in spec.ties:
-        known = F.array_distinct(F.array_compact(F.transform("tied", lambda record: record[tie.value])))
-        flags[tie.flag] = F.when(~lone & (F.size(known) > 1), F.lit(1))
-    picked = tied.withColumns({"pick": pick, **flags})
+    any_tie = reduce(lambda a, b: a | b, [F.col(flag).isNotNull() for flag in ties])
+    shown = picked.filter(any_tie).select("person_id")
+    tied = best.join(shown, "person_id", "left_semi").groupBy("person_id").agg(F.sort_array(F.collect_list(F.struct(*fields, "copies"))).alias("tied"))
 
     def listed(column: str) -> Column:
-        repeated = F.transform("tied", lambda record: F.array_repeat(record[column], record["copies"]))
+        repeated = F.transform("tied", lambda entry: F.array_repeat(entry[column], entry["copies"]))
         return F.array_compact(F.flatten(repeated))
 
     lists = {name: F.when(F.col(t.flag) == 1, listed(column)) for t in spec.ties for name, column in t.lists.items()}
-    chosen = {name: F.col("pick")[name] for name in ("data_source", *spec.values)}
+    chosen = {name: F.col("pick.record")[name] for name in ("data_source", *spec.values)}
     made = {**chosen, **lists}
-    return picked.select(*[made[name].alias(name) if name in made else F.col(name) for name in spec.output])
+    return picked.join(tied, "person_id", "left").select(*[made[name].alias(name) if name in made else F.col(name) for name in spec.output])
 
 
 _PRIORITY = {"gdppr": 1, "hes_apc": 2, "hes_op": 3, "hes_ae": 3}
@@ -197,8 +172,6 @@ DATE_OF_BIRTH = SelectionSpec(
     required=("date_of_birth",),
     bounds={"record_date": ("1900-01-01", "current_date()"), "date_of_birth": ("1880-01-01", "current_date()")},
     condition="record_date >= date_of_birth",
-    # Two ages on one date may give the same date of birth.
-    equal_rows="few",
 )
 
 SEX = SelectionSpec(

@@ -78,6 +78,20 @@ class Codelist:
     def checked(cls, rows: DataFrame) -> Codelist:
         return cls(rows, fits_broadcast(rows))
 
+    def of(self, name: str) -> DataFrame:
+        """Its distinct rows, without columns that the sources do not use, which could repeat codes."""
+        used = CODELIST_COLUMNS.get(name)
+        return (self.rows if used is None else self.rows.select(*used)).distinct()
+
+
+# The columns of a codelist that the sources here use; other codelists are taken with all their columns.
+CODELIST_COLUMNS = {
+    "ethnicity_snomed": ("code", "description", "ethnic_category"),
+    "infection_icd10": ("code", "description", "covid_status"),
+    "infection_snomed": ("code", "description", "covid_status"),
+    "antigen_tests": ("code", "description", "test_result"),
+}
+
 
 def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
@@ -111,7 +125,7 @@ def extract(
         if listed:
             rows = match_codelist(rows, codes.rows.select("code"), how="left_semi", small=codes.small)
         else:
-            rows = match_codelist(rows, codes.rows, how="left", small=codes.small)
+            rows = match_codelist(rows, codes.of(spec.codelist), how="left", small=codes.small)
 
     rows = require(rows, ["person_id", *[c for c in spec.kept if c not in spec.nullable]])
     if len(specs) == 1:
@@ -123,7 +137,7 @@ def extract(
         rows = rows.select("person_id", *spec.kept, tags).distinct()
 
     if listed:
-        rows = match_codelist(rows, codes.rows.distinct(), how="inner", small=codes.small)
+        rows = match_codelist(rows, codes.of(spec.codelist), how="inner", small=codes.small)
     for name, column in spec.derive.items():
         rows = rows.withColumn(name, column())
     return _conform(rows, asset.schema)

@@ -129,14 +129,15 @@ def save_table(
 def export_small_csv(df: DataFrame, path: str, max_rows: int = 1000, **options) -> None:
     """Write a small result, such as a disclosure-checked table, as one CSV file in the directory ``path``.
 
-    Refuses an empty result, more than ``max_rows`` rows, or a path whose parent does not exist. The plan runs once:
-    at most ``max_rows + 1`` rows are fetched and these are written.
+    Refuses an empty result, more than ``max_rows`` rows, or a path whose parent does not exist. A guard counts at
+    most ``max_rows + 1`` rows, and the rows are written by a task, not by way of the driver. Quotes inside a field
+    are doubled.
     """
     spark = df.sparkSession
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    count = df.limit(max_rows + 1).count()
+    if count > max_rows:
         raise ValueError(f"More than {max_rows} rows; use save_table for larger results.")
-    if not rows:
+    if not count:
         raise ValueError("The result is empty.")
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -144,7 +145,7 @@ def export_small_csv(df: DataFrame, path: str, max_rows: int = 1000, **options)
     if parent is not None and not files.exists(parent):
         raise ValueError(f"Directory {parent} does not exist.")
     try:
-        small = spark.createDataFrame(rows, df.schema).coalesce(1)
-        small.write.mode("overwrite").options(**({"header": "true"} | options)).csv(path)
+        one_file = df.limit(max_rows).coalesce(1)
+        one_file.write.mode("overwrite").options(**({"header": "true", "escape": '"'} | options)).csv(path)
     except Exception as error:
         raise OSError(f"Writing CSV to {path} failed: {error}") from error

@@ -23,14 +23,12 @@ def test_codes_stay_text_and_empty_stays_empty(spark, csv, rows):
 
 
 def test_lookup_table(spark, csv, rows):
-    path = csv("Name,Age,Gender\nJohn,30,Male\nAlice,25,Female\n")
-    assert rl.lookup_mapping(rl.lookup_table(spark, path, "Name", "Age")) == {"John": "30", "Alice": "25"}
-    listed = rl.lookup_mapping(rl.lookup_table(spark, path, "Name", ["Age", "Gender"]))
-    assert listed == {"John": ["30", "Male"], "Alice": ["25", "Female"]}
-    named = rl.lookup_mapping(rl.lookup_table(spark, path, "Name", ["Age", "Gender"], retain_column_names=True))
-    assert named["John"] == {"Age": "30", "Gender": "Male"}
-    with pytest.raises(ValueError, match="more than 1"):
-        rl.lookup_mapping(rl.lookup_table(spark, path, "Name", "Age"), max_rows=1)
+    path = csv("item,price,colour\npen,30,blue\ncup,25,red\n")
+    assert rl.lookup_mapping(rl.lookup_table(spark, path, "item", "price")) == {"pen": "30", "cup": "25"}
+    listed = rl.lookup_mapping(rl.lookup_table(spark, path, "item", ["price", "colour"]))
+    assert listed == {"pen": ["30", "blue"], "cup": ["25", "red"]}
+    named = rl.lookup_mapping(rl.lookup_table(spark, path, "item", ["price", "colour"], retain_column_names=True))
+    assert named["pen"] == {"price": "30", "colour": "blue"}
 
 
 def test_lookup_needs_a_unique_key(spark, csv):
@@ -82,3 +80,8 @@ def test_pre_2003_categories():
     from recordloom.sources.codelist_values import PRE_2003_CATEGORY
 
     assert "".join(PRE_2003_CATEGORY[str(i)] for i in range(10)) == "AMNPHJKRSZ"
+
+
+def test_doubled_quotes(spark, csv, rows):
+    path = csv('code,description\n001,"a ""quoted"" text, more"\n002,"two\nlines"\n003,NA\n')
+    assert rows(rl.read_codelist(spark, path)) == [("001", 'a "quoted" text, more'), ("002", "two\nlines"), ("003", "NA")]

@@ -13,7 +13,6 @@ from recordloom.plans.selection import SEED
 DAY = dt.date(2020, 1, 1)
 LATER = dt.date(2021, 1, 1)
 SEX = "person_id string, record_date date, sex_code string, sex string, data_source string"
-MODES = ("none", "few", "many")
 
 
 def sex_rows(spark, data):
@@ -74,28 +73,25 @@ def random_sex_rows(n, people, seed=5, repeated=True):
     return data if repeated else [dict(t) for t in {tuple(row.items()) for row in data}]
 
 
-@pytest.mark.parametrize("mode", MODES)
 @pytest.mark.parametrize("recency_first", [False, True])
 @pytest.mark.parametrize("priority", [{"gdppr": 1, "hes_apc": 2, "hes_op": 3, "hes_ae": 3}, {"ssnap": 7, "gdppr": -2}, {}])
-def test_agrees_with_plain_python(spark, rows, mode, recency_first, priority):
-    data = random_sex_rows(1500, 120, repeated=mode != "none")
+def test_agrees_with_plain_python(spark, rows, recency_first, priority):
+    data = random_sex_rows(1500, 120)
     spec = replace(rl.SELECTIONS["sex"], recency_first=recency_first)
     df = sex_rows(spark, [tuple(row.values()) for row in data])
-    got = rl.select_records(df, spec, priority_index=priority or None, equal_rows=mode)
+    got = rl.select_records(df, spec, priority_index=priority or None)
     assert rows(got) == expected_selection(data, spec, priority, "sex")
 
 
-@pytest.mark.parametrize("mode", MODES)
-def test_result_does_not_depend_on_partitioning(spark, rows, mode):
-    data = [tuple(row.values()) for row in random_sex_rows(2000, 60, repeated=mode != "none")]
+def test_result_does_not_depend_on_partitioning(spark, rows):
+    data = [tuple(row.values()) for row in random_sex_rows(2000, 60)]
     df = sex_rows(spark, data)
-    first = rows(rl.select_sex(df.repartition(1), equal_rows=mode))
+    first = rows(rl.select_sex(df.repartition(1)))
     random.Random(1).shuffle(data)
-    assert rows(rl.select_sex(sex_rows(spark, data).repartition(13), equal_rows=mode)) == first
+    assert rows(rl.select_sex(sex_rows(spark, data).repartition(13))) == first
 
 
-@pytest.mark.parametrize("mode", ["few", "many"])
-def test_ties(spark, mode):
+def test_ties(spark):
     data = [
         ("same", DAY, "1", "M", "gdppr"),
         ("same", DAY, "M", "M", "gdppr"),
@@ -106,7 +102,7 @@ def test_ties(spark, mode):
         ("last", LATER, "1", "M", "ssnap"),
         ("last", DAY, "2", "F", "hes_ae"),
     ]
-    found = {row["person_id"]: row for row in rl.select_sex(sex_rows(spark, data), equal_rows=mode).collect()}
+    found = {row["person_id"]: row for row in rl.select_sex(sex_rows(spark, data)).collect()}
     assert found["same"]["sex_tie_flag"] is None and found["same"]["sex_tie_value"] is None
     tied = found["tied"]
     assert tied["sex_tie_flag"] == 1 and tied["record_date"] == DAY
@@ -172,8 +168,6 @@ def test_arguments_are_checked(spark):
     for priority in ({"gdppr": "1"}, {"nowhere": 1}, {"gdppr": 1.5}):
         with pytest.raises(ValueError):
             rl.select_sex(df, priority_index=priority)
-    with pytest.raises(ValueError, match="equal_rows"):
-        rl.select_sex(df, equal_rows="some")
     assert rl.select_sex(df, filter_data_sources=["hes_ae"]).count() == 0
 
 
@@ -181,30 +175,26 @@ def test_plans(spark, tmp_path, plan):
     path = str(tmp_path / "sex")
     sex_rows(spark, [("p", DAY, "1", "M", "gdppr")]).write.parquet(path)
     df = spark.read.parquet(path)
-    none, few, many = (plan(rl.select_sex(df, max_record_date="2024-01-01", equal_rows=mode)) for mode in MODES)
-    assert none.count("Exchange hashpartitioning") == 2 and none.count("Sort [") == 1
-    assert few.count("Exchange hashpartitioning") == 1 and few.count("WindowGroupLimit") == 2
-    assert many.count("Exchange hashpartitioning") == 3
-    for text in (none, many):
-        # The first exchange carries rows already combined map-side and spreads a person by source and value.
-        assert "hashpartitioning(person_id" in text and "partial_max" in text
-        assert "LessThanOrEqual(record_date,2024-01-01)" in text and "IsNotNull(sex)" in text
-
-
-@pytest.mark.parametrize("mode", MODES)
-def test_one_person_with_most_rows(spark, mode):
-    """A person with half of all rows, most of them equal where the mode admits it."""
-    copies = "1" if mode == "none" else "cast(id % 3 + 1 as int)"
+    text = plan(rl.select_sex(df, max_record_date="2024-01-01"))
+    assert "LessThanOrEqual(record_date,2024-01-01)" in text and "IsNotNull(sex)" in text
+    assert "Window" not in text
+    # Lists are gathered behind the semi-join with the persons that have a tie to report.
+    gathered = [line for line in text.splitlines() if "partial_collect_list" in line]
+    assert len(gathered) == 1 and "LeftSemi" in text[text.index(gathered[0]) :]
+    assert text.count("partial_min(standing") >= 1 and "partial_count(1)" in text
+
+
+def test_one_person_with_most_rows(spark):
+    """A person with half of all rows, most of them equal."""
     df = spark.range(40_000).selectExpr(
         "if(id % 2 = 0, 'hot', concat('p', id % 900)) as person_id",
         "date_add(date '2020-01-01', cast(id % 400 as int)) as record_date",
         "cast(id % 5 as string) as sex_code",
         "cast(id % 2 + id % 3 as string) as sex",
         "if(id % 4 < 2, 'gdppr', 'hes_op') as data_source",
-        f"explode(array_repeat(0, {copies})) as again",
+        "explode(array_repeat(0, cast(id % 3 + 1 as int))) as again",
     ).drop("again")
-    df = df.distinct() if mode == "none" else df
-    got = rl.select_sex(df, equal_rows=mode)
+    got = rl.select_sex(df)
     hot = got.filter("person_id = 'hot'").first()
     best = df.filter("person_id = 'hot' and data_source = 'gdppr'")
     day = best.agg(F.max("record_date")).first()[0]
@@ -228,3 +218,11 @@ def test_built_tables(spark, database, rows):
     individual = rl.load_table(spark, "lsoa_individual", directory)
     assert tuple(individual.columns) == rl.SELECTIONS["lsoa"].output
     assert rows(individual, "person_id", "lsoa") == [("p", "E2"), ("q", "E3")]
+
+
+def test_equal_rows_are_kept_in_lists_by_default(spark, database):
+    directory = {key: {"database": database, "table_name": key} for key in ("sex_multisource", "sex_individual")}
+    data = [("p", DAY, "1", "M", "gdppr")] * 2 + [("p", DAY, "2", "F", "gdppr")]
+    rl.save_table(sex_rows(spark, data), "sex_multisource", directory)
+    rl.build_individual(spark, "sex", directory)
+    assert rl.load_table(spark, "sex_individual", directory).first()["sex_tie_value"] == ["M", "M", "F"]

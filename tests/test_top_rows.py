@@ -6,16 +6,16 @@ import recordloom as rl
 
 @pytest.fixture
 def groups(spark):
-    data = [("A", 1), ("A", 1), ("A", 2), ("A", 3), ("B", 4), ("B", 5), ("B", 6)]
+    data = [("x", 7), ("x", 7), ("x", 8), ("x", 11), ("y", 2), ("y", 3), ("y", 9)]
     return spark.createDataFrame(data, "`group` string, value int")
 
 
 @pytest.mark.parametrize(
     "method, expected",
     [
-        ("row_number", [("A", 1, 1), ("A", 1, 2), ("B", 4, 1), ("B", 5, 2)]),
-        ("rank", [("A", 1, 1), ("A", 1, 1), ("B", 4, 1), ("B", 5, 2)]),
-        ("dense_rank", [("A", 1, 1), ("A", 1, 1), ("A", 2, 2), ("B", 4, 1), ("B", 5, 2)]),
+        ("row_number", [("x", 7, 1), ("x", 7, 2), ("y", 2, 1), ("y", 3, 2)]),
+        ("rank", [("x", 7, 1), ("x", 7, 1), ("y", 2, 1), ("y", 3, 2)]),
+        ("dense_rank", [("x", 7, 1), ("x", 7, 1), ("x", 8, 2), ("y", 2, 1), ("y", 3, 2)]),
     ],
 )
 @pytest.mark.parametrize("heavy", [False, True])
@@ -36,9 +36,9 @@ def test_wrappers_name_their_index(groups):
 @pytest.mark.parametrize(
     "method, expected",
     [
-        ("row_number", [("B", 5, 2), ("B", 6, 1)]),
-        ("rank", [("B", 5, 2), ("B", 6, 1)]),
-        ("dense_rank", [("B", 5, 2), ("B", 6, 1)]),
+        ("row_number", [("x", 11, 1), ("y", 9, 2)]),
+        ("rank", [("x", 11, 1), ("y", 9, 2)]),
+        ("dense_rank", [("x", 11, 1), ("y", 9, 2)]),
     ],
 )
 @pytest.mark.parametrize("order", ["value desc", F.desc])
@@ -48,14 +48,26 @@ def test_whole_table(groups, rows, method, expected, order):
 
 
 def test_whole_table_ranks_leave_gaps(groups, rows):
-    ranked = rl.first_rank(groups, 3, order_by="value", return_index_column=True)
-    assert rows(ranked) == [("A", 1, 1), ("A", 1, 1), ("A", 2, 3)]
+    ranked = rl.first_rank(groups, 5, order_by="value", return_index_column=True)
+    assert rows(ranked) == [("x", 7, 3), ("x", 7, 3), ("x", 8, 5), ("y", 2, 1), ("y", 3, 2)]
     dense = rl.first_dense_rank(groups, 3, order_by="value", return_index_column=True)
-    assert rows(dense) == [("A", 1, 1), ("A", 1, 1), ("A", 2, 2), ("A", 3, 3)]
+    assert rows(dense) == [("x", 7, 3), ("x", 7, 3), ("y", 2, 1), ("y", 3, 2)]
 
 
 def test_computed_key_over_whole_table(groups, rows):
-    assert rows(rl.first_rank(groups, 1, order_by=F.abs(F.col("value") - 5))) == [("B", 5)]
+    assert rows(rl.first_rank(groups, 1, order_by=F.abs(F.col("value") - 9))) == [("y", 9)]
+
+
+@pytest.mark.parametrize("heavy", [False, True])
+def test_computed_keys_and_groups(groups, rows, heavy):
+    order = [(F.col("value") % 4).desc(), "abs(value - 7) asc"]
+    got = rl.first_rank(groups, 1, F.upper("group"), order, heavy_ties=heavy)
+    assert rows(got) == [("x", 7), ("x", 7), ("y", 3)]
+
+
+def test_computed_key_leaves_no_rows_to_one_task(groups, plan):
+    text = plan(rl.first_rank(groups, 3, order_by=[F.lit(True), F.abs(F.col("value")).desc()]))
+    assert "TakeOrderedAndProject" in text and "SinglePartition" not in text
 
 
 @pytest.mark.parametrize("heavy", [False, True])

@@ -19,7 +19,7 @@ def test_melt_of_mixed_types_as_text(spark, rows):
 @pytest.mark.parametrize(
     "names, expected",
     [
-        (["Name", "0_N@me!", "0_N@me!"], ["name", "_0_n_me_", "_0_n_me__2"]),
+        (["Größe", "2nd Value?", "2nd-value "], ["größe", "_2nd_value_", "_2nd_value__2"]),
         (["a", "a", "a"], ["a", "a_2", "a_3"]),
         (["a", "a", "a_2"], ["a", "a_2", "a_2_2"]),
         (["a_2", "a", "A"], ["a_2", "a", "a_3"]),
@@ -50,6 +50,24 @@ def test_large_mapping_is_joined(spark, rows, plan):
     assert "BroadcastHashJoin" in plan(mapped)
 
 
+@pytest.mark.parametrize("value", [lambda i: i, lambda i: i if i else 2.5, lambda i: None, lambda i: {"n": i, "t": str(i)}, lambda i: [i]])
+def test_type_does_not_depend_on_size(spark, value):
+    df = spark.createDataFrame([("7",)], "c string")
+    few, many = (rl.map_values(df, {str(i): value(i) for i in range(n)}, "c", "m") for n in (100, 101))
+    assert few.schema == many.schema
+    assert few.collect() == many.collect()
+
+
+def test_lookup_table_of_other_keys_as_mapping(spark, rows, tmp_path):
+    path = str(tmp_path / "lookup")
+    spark.createDataFrame([("1", "one", "I"), ("2", "two", "II")], "k string, name string, roman string").coalesce(1).write.option("header", True).csv(path)
+    lookup = rl.lookup_table(spark, path, "k", ["name", "roman"], True, key_type="int")
+    df = spark.createDataFrame([(1,), (3,)], "c int")
+    by_table = rl.map_values(df, lookup, "c", "m")
+    assert rows(by_table.select("c", "m.roman")) == [(1, "I"), (3, None)]
+    assert rows(rl.map_values(df, rl.lookup_mapping(lookup), "c", "m").select("c", "m.name")) == [(1, "one"), (3, None)]
+
+
 def test_mapping_is_checked(spark):
     df = spark.createDataFrame([("A", 1)], "c string, d int")
     with pytest.raises(ValueError, match="does not exist"):
