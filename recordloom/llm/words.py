@@ -15,9 +15,9 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once; documents are never cut, a longer one is a slice of its own.
-SLICE = 4 << 20
+SLICE = 2 << 20
 #: Bytes whose 64-bit intermediates live at once.
-PIECE = 1 << 20
+PIECE = 1 << 19
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
