@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordloom.llm import words
@@ -148,14 +148,19 @@ def _sharing(posted: DataFrame, percent: int) -> DataFrame:
 def live_postings(posted: DataFrame, percent: int) -> DataFrame:
     """(gram, fp, n) of sets that share enough of their first n-grams to be alike to any other set.
 
-    A set alike to one of ``n`` n-grams has ``percent`` of ``n`` at least, so it shares ``least_shared`` of that.
+    A set alike to one of ``n`` n-grams has ``percent`` of ``n`` at least, so it shares ``least_shared`` of that. In the
+    order of falling frequency the last n-gram that two alike sets share has all others they share before it, so each
+    set can leave out its most frequent ones, one less than it must share.
     """
     live = written(_sharing(posted, percent).distinct(), "postings")
+    needed = 1 + F.floor(F.ceil(F.col("n") * percent / 100) / SHARED_SHARE)
     for _ in range(ROUNDS):
-        needed = 1 + F.floor(F.ceil(F.col("n") * percent / 100) / SHARED_SHARE)
         enough = live.groupBy("fp", "n").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= needed).select("fp")
         live = written(_sharing(live.join(enough, "fp"), percent).select("gram", "fp", "n"), "postings")
-    return live
+    counts = live.groupBy("gram").agg(F.count(F.lit(1)).alias("c"))
+    place = F.row_number().over(Window.partitionBy("fp").orderBy(F.desc("c"), "gram"))
+    late = live.join(counts, "gram").withColumn("place", place).where(F.col("place") >= needed).select("gram", "fp", "n")
+    return written(late.join(_shared(late, "gram", "fp"), "gram"), "postings")
 
 
 def wanted_map(keys: DataFrame, key: str) -> np.ndarray:
@@ -295,23 +300,35 @@ def tree_pairs(met: DataFrame, node: DataFrame, threshold: Threshold) -> DataFra
 
 
 def linked_pairs(pairs: DataFrame, member: DataFrame, threshold: Threshold) -> DataFrame:
-    """Those pairs of clusters of which two members are alike."""
-    rows = pairs.join(member.select(F.col("cluster").alias("a"), "grams"), "a").select("a", "b", F.lit(0).alias("side"), "grams")
-    rows = rows.unionByName(pairs.join(member.select(F.col("cluster").alias("b"), "grams"), "b").select("a", "b", F.lit(1).alias("side"), "grams"))
+    """Those pairs of clusters of which two members are alike.
+
+    The larger cluster of a pair is sent once for many smaller ones, not once a pair; smaller ones beyond a bounded
+    number of n-grams go to further parts.
+    """
+    pairs = written(pairs, "pairs")
+    sizes = member.groupBy("cluster").agg(F.sum("n").alias("size"))
+    side = lambda c: sizes.select(F.col("cluster").alias(c), F.struct("size", F.col("cluster").alias("id")).alias(f"of_{c}"))
+    sided = pairs.join(side("a"), "a").join(side("b"), "b").select(F.greatest("of_a", "of_b").alias("large"), F.least("of_a", "of_b").alias("small"))
+    sided = sided.select(F.col("large.id").alias("large"), F.col("small.id").alias("small"), F.col("small.size").alias("size"))
+    parts = sided.groupBy("large").agg(F.ceil(F.sum("size") / BLOCK_GRAMS).alias("parts"))
+    sided = sided.join(parts, "large").withColumn("part", F.pmod(F.xxhash64("small"), "parts")).select("large", "part", "small")
+    nowhere = F.lit(None).cast("long")
+    once = sided.select("large", "part").distinct().join(member.select(F.col("cluster").alias("large"), "grams"), "large").select("large", "part", nowhere.alias("small"), "grams")
+    each = sided.join(member.select(F.col("cluster").alias("small"), "grams"), "small").select("large", "part", "small", "grams")
 
     def group(whole: pa.Table) -> Iterator[pa.RecordBatch]:
-        a, b = whole.column("a").to_numpy(), whole.column("b").to_numpy()
-        side = whole.column("side").to_numpy()
-        found = []
-        for low, high in runs(whole, ["a", "b"]):
-            own = [_set(x) for x in whole.column("grams").slice(low, high - low).to_pylist()]
-            left = [x for x, s in zip(own, side[low:high]) if s == 0]
-            right = [x for x, s in zip(own, side[low:high]) if s == 1]
-            if any_link(left, right, threshold):
-                found.append(low)
-        yield pa.RecordBatch.from_arrays([pa.array(a[found]), pa.array(b[found])], ["a", "b"])
-
-    return by_runs(rows, ["a", "b"], group, "a long, b long", rows=2_000)
+        found: list[tuple[int, int]] = []
+        for low, high in runs(whole, ["large", "part"]):
+            part = whole.slice(low, high - low)
+            large, own = part.column("large")[0].as_py(), {}
+            for small, grams in zip(part.column("small").to_pylist(), part.column("grams").to_pylist()):
+                own.setdefault(small, []).append(_set(grams))
+            center = own.pop(None)
+            bottom = leaves(center)
+            found += [(large, small) for small, sets in own.items() if any_link(center, bottom, sets, threshold)]
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([x for _, x in found], pa.int64())], ["a", "b"])
+
+    return by_runs(once.unionByName(each), ["large", "part"], group, "a long, b long", rows=2_000)
 
 
 def _grouped(member: DataFrame, labels: DataFrame | None) -> DataFrame:

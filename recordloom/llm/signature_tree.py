@@ -171,13 +171,11 @@ def linked_groups(sets: list[np.ndarray], threshold: Threshold) -> np.ndarray:
     return labels
 
 
-def any_link(left: list[np.ndarray], right: list[np.ndarray], threshold: Threshold) -> bool:
-    """Whether a set on the left is alike to one on the right."""
-    if len(left) > len(right):
-        left, right = right, left
-    a, b = leaves(left), leaves(right)
-    for k, one in enumerate(left):
-        rest = np.flatnonzero(possible_pairs(a, np.full(len(right), k), b, np.arange(len(right)), threshold))
-        if len(rest) and threshold.alike(shared_tokens(one, [right[r] for r in rest]), len(one), b.low[rest]).any():
+def any_link(center: list[np.ndarray], bottom: Nodes, others: list[np.ndarray], threshold: Threshold) -> bool:
+    """Whether one of the others is alike to a set of the center, whose leaves are given."""
+    own = leaves(others)
+    for k, one in enumerate(others):
+        rest = np.flatnonzero(possible_pairs(own, np.full(len(center), k), bottom, np.arange(len(center)), threshold))
+        if len(rest) and threshold.alike(shared_tokens(one, [center[r] for r in rest]), len(one), bottom.low[rest]).any():
             return True
     return False
