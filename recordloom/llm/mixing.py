@@ -18,12 +18,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordloom.llm.tables import by_batches
+from recordloom.llm.tables import by_batches, written
 
 #: Tokens of a block. Blocks cost nothing, so they are small: a source misses its target by half a block or so.
 BLOCK_TOKENS = 16
 #: Rows of a part of a source's stream, about.
-ROWS_PER_PART = 50_000
+ROWS_PER_PART = 8_000
 WEIGHTS = (3, 1, 2)
 
 
@@ -159,6 +159,8 @@ def mix(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text"
         key.alias("key"), F.col(f"`{id_column}`").alias("doc_id"), word_count(F.col(f"`{text_column}`").cast("string")).alias("size"),
         *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []),
     )
+    if not carry:
+        rows = written(rows, "word-counts")  # slim rows, needed three times
     sums = rows.groupBy("key").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows")).collect()
     plans = {("+" + p["source"]) if p["source"] is not None else "-": p for p in plan({None if r["key"] == "-" else r["key"][1:]: int(r["size"]) for r in sums}, seed=seed)}
     placed = stream_offsets(rows, sum(r["rows"] for r in sums), seed)
