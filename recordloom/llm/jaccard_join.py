@@ -152,11 +152,13 @@ def live_postings(posted: DataFrame, percent: int) -> DataFrame:
     order of falling frequency the last n-gram that two alike sets share has all others they share before it, so each
     set can leave out its most frequent ones, one less than it must share.
     """
-    live = written(_sharing(posted, percent).distinct(), "postings")
     needed = 1 + F.floor(F.ceil(F.col("n") * percent / 100) / SHARED_SHARE)
+    live = posted
     for _ in range(ROUNDS):
-        enough = live.groupBy("fp", "n").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= needed).select("fp")
-        live = written(_sharing(live.join(enough, "fp"), percent).select("gram", "fp", "n"), "postings")
+        # dealt by set once: there sets sent by several tasks become one, and few enough rows of a set are counted
+        own = _sharing(live, percent).select("gram", "fp", "n").repartition("fp").distinct()
+        enough = own.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("fp"))).where(F.col("c") >= needed)
+        live = written(enough.select("gram", "fp", "n"), "postings")
     counts = live.groupBy("gram").agg(F.count(F.lit(1)).alias("c"))
     place = F.row_number().over(Window.partitionBy("fp").orderBy(F.desc("c"), "gram"))
     late = live.join(counts, "gram").withColumn("place", place).where(F.col("place") >= needed).select("gram", "fp", "n")
@@ -339,18 +341,9 @@ def _grouped(member: DataFrame, labels: DataFrame | None) -> DataFrame:
     return member.select("fp", "cluster").join(named, "cluster", "left").select("fp", "cluster", F.coalesce("group", "cluster").alias("group"))
 
 
-def linked_documents(
-    docs: DataFrame, *, words_per_gram: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text"
-) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, ``n_shingles`` and ``component_id``, the smallest id reachable by links.
-
-    Two documents are linked when their sets of lower-cased word n-grams have a Jaccard similarity of ``percent`` or
-    more. A text with fewer words than an n-gram has its whole sequence as the only one; one without words, or null, has
-    none and is linked with nothing. Rows with equal ids are linked by what each of them says; a null id is passed
-    over in ``component_id`` unless nothing else is reachable. N-grams and sets are told apart by 64-bit hashes.
-    """
+def _linked(texts: DataFrame, words_per_gram: int, percent: int) -> DataFrame:
+    """(doc_id, text_hash, n, component_id) for every row of ``texts``."""
     threshold = Threshold(percent)
-    texts = _texts(docs, id_column, text_column)
     sketch = written(sketches(texts, words_per_gram, threshold, frequent_grams(texts, words_per_gram)), "sketches")
     live = live_postings(postings(sketch), percent)
     member = written(clusters(texts, sketch, live, words_per_gram, threshold), "members")
@@ -364,23 +357,40 @@ def linked_documents(
     apart = groups.join(_shared(groups, "gram", "group"), "gram")
     more = written(linked_pairs(tree_pairs(apart, node, threshold), member, threshold), "cluster-links")
     grouped = _grouped(member, components(links.unionByName(more)))
-    rows = sketch.select("doc_id", "n", "fp").join(grouped.select("fp", "group"), "fp", "left")
-    rows = rows.select("doc_id", "n", F.coalesce("group", "fp").alias("group"))
-    least = rows.where("n > 0").groupBy("group").agg(F.min("doc_id").alias("least"))
-    return (
-        rows.where("n > 0").join(least, "group")
-        .select("doc_id", F.col("n").alias("n_shingles"), F.col("least").alias("component_id"))
-        .unionByName(rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
-        .withColumnRenamed("doc_id", id_column)
-    )
+    rows = sketch.select("doc_id", "text_hash", "n", "fp").join(grouped.select("fp", "group"), "fp", "left")
+    rows = rows.select("doc_id", "text_hash", "n", F.coalesce("group", "fp").alias("group"))
+    least = rows.where("n > 0").groupBy("group").agg(F.min("doc_id").alias("component_id"))
+    alone = rows.where("n = 0").select("doc_id", "text_hash", "n", F.col("doc_id").alias("component_id"))
+    return rows.where("n > 0").join(least, "group").select("doc_id", "text_hash", "n", "component_id").unionByName(alone)
 
 
-def one_of_each(docs: DataFrame, *, id_column: str = "doc_id", **options: object) -> DataFrame:
-    """The rows of ``docs`` that are the smallest of their component, one a component, with all their columns.
+def linked_documents(
+    docs: DataFrame, *, words_per_gram: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id``, ``n_shingles`` and ``component_id``, the smallest id reachable by links.
 
-    Of repeated rows with that id one stays; rows without a null id or an n-gram are their own component.
+    Two documents are linked when their sets of lower-cased word n-grams have a Jaccard similarity of ``percent`` or
+    more. A text with fewer words than an n-gram has its whole sequence as the only one; one without words, or null, has
+    none and is linked with nothing. Rows with equal ids are linked by what each of them says; a null id is passed
+    over in ``component_id`` unless nothing else is reachable. N-grams and sets are told apart by 64-bit hashes.
     """
-    found = linked_documents(docs, id_column=id_column, **options)  # type: ignore[arg-type]
-    kept = found.where(F.col(id_column).eqNullSafe(F.col("component_id"))).select(F.col(id_column).alias("__kept")).distinct()
-    return docs.join(kept, F.col(f"`{id_column}`").eqNullSafe(F.col("__kept")), "left_semi").dropDuplicates([id_column])
+    found = _linked(_texts(docs, id_column, text_column), words_per_gram, percent)
+    return found.select(F.col("doc_id").alias(id_column), F.col("n").alias("n_shingles"), "component_id")
+
+
+def one_of_each(
+    docs: DataFrame, *, words_per_gram: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` with the smallest id of their component, one a component, with all their columns.
 
+    Of repeated rows with that id one stays. Of rows with a null id one stays for each text, unless they are linked with a
+    row that has an id.
+    """
+    found = written(_linked(_texts(docs, id_column, text_column), words_per_gram, percent), "components")
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    own_id, hashed = F.col(f"`{id_column}`"), F.xxhash64(F.col(f"`{text_column}`").cast("string"))
+    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias(id_column)).distinct()
+    named = docs.where(own_id.isNotNull()).join(kept, id_column, "left_semi").dropDuplicates([id_column]).select(*own)
+    nameless = found.where("doc_id IS NULL AND component_id IS NULL").select(F.col("text_hash").alias("__text_hash")).distinct()
+    others = docs.where(own_id.isNull()).withColumn("__text_hash", hashed).join(nameless, "__text_hash", "left_semi").dropDuplicates(["__text_hash"])
+    return named.unionByName(others.select(*own))
