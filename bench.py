@@ -1,7 +1,7 @@
 """Headline queries at ``$BENCH_SF_DIR`` on ``local[$BENCH_CPUS]``; prints one JSON line.
 
 Every query runs over whole tables and writes its full result to the no-op sink. The multi-source tables are written
-once to a temporary folder and selection is timed from there, as in production, where they are saved tables. With
+once to the scratch folder and selection is timed from there, as in production, where they are saved tables. With
 ``BENCH_SHAPES=1`` the plans a straightforward formulation leads to (three windows; unpivot and distinct count) are
 timed too and reported under ``usual_shape``.
 """
@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import json
 import os
-import tempfile
 import time
 from statistics import median
 
@@ -66,7 +65,7 @@ def unpivoted_flowchart(cohort: DataFrame, criteria: dict) -> DataFrame:
 
 def main() -> None:
     spark = local_session(CPUS)
-    folder = tempfile.mkdtemp(prefix="recordloom-bench-")
+    folder = q.scratch(spark)
 
     for asset in ("date_of_birth", "sex", "ethnicity", "lsoa"):
         q.long_rows(spark, SF_DIR, asset).write.parquet(f"{folder}/{asset}")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -22,6 +23,8 @@ def local_session(cores: str = "8", **conf: str) -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
+        # One machine only, so a folder of its own serves as warehouse and scratch space.
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="recordloom-warehouse-"))
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -8,7 +8,6 @@ copies the array of all tied rows into every one of them and did not finish with
 from __future__ import annotations
 
 import sys
-import tempfile
 import time
 
 from pyspark.sql import functions as F
@@ -16,12 +15,13 @@ from pyspark.sql import functions as F
 import recordloom as rl
 from bench import unpivoted_flowchart
 from checks.compare import local_session
+from checks.queries import scratch
 from checks.views import table
 
 
 def main(sf_dir: str = "/root/testdata/sf0.1", copies: str = "10") -> None:
     spark = local_session()
-    path = f"{tempfile.mkdtemp(prefix='recordloom-skew-')}/rows"
+    path = scratch(spark)
     times = spark.range(int(copies)).withColumnRenamed("id", "copy")
     table(spark, sf_dir, "lineitem").crossJoin(F.broadcast(times)).selectExpr(
         "l_orderkey * 1000 + l_linenumber * 100 + copy as row_id",
