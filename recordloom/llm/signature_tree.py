@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 
 #: Bits of a bitmap.
-BITS = 4096
+BITS = 2048
 FANOUT = 8
 #: Pairs of nodes handled at once.
 CHUNK = 20_000
