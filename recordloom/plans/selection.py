@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -85,8 +84,8 @@ def _best_rows(rows: DataFrame, spec: SelectionSpec, priority: Mapping[str, int]
     counted map-side, so a large group of them is never shuffled either.
     """
     ranked = rows.withColumn("standing", _standing(spec, priority))
-    lowest = ranked.groupBy("person_id").agg(F.min("standing").alias("standing"))
-    best = ranked.join(lowest, ["person_id", "standing"])
+    lowest = ranked.groupBy("person_id").agg(F.min("standing").alias("lowest"))
+    best = ranked.join(lowest, "person_id").filter("standing = lowest")
     return best.groupBy("person_id", "data_source", *spec.values, "record_date").agg(F.count(F.lit(1)).cast("int").alias("copies"))
 
 
@@ -107,8 +106,8 @@ def select_records(
     of them with their sources, ordered by source and values, repeated as often as they occur; otherwise flag and
     arrays are null. Sources without a priority come last; ``priority_index=None`` gives all sources the same.
 
-    Nothing is assumed about equal rows. Only records of persons with a tie to report are gathered in lists; for all
-    others the pick and the flags come from minima and maxima, which hold one record per person.
+    Nothing is assumed about equal rows. What is gathered per person are distinct best records with their number, so a
+    person with very many equal rows has one entry until a reported tie writes them out.
     """
     priority = spec.priority if priority_index is _DEFAULT else priority_index
     _check_priority(priority, spec.sources)
@@ -123,27 +122,34 @@ def select_records(
 
     best = _best_rows(usable, spec, priority)
 
-    # Struct order is list order: source, then the ordering values, then the rest.
+    # Struct order is list order: source, then the ordering values, then the rest. Equal rows are one entry, so a list
+    # holds a person's distinct best records: what a tie reports, or one value from several sources.
     fields = ["data_source", *spec.tie_order, *[v for v in spec.values if v not in spec.tie_order]]
-    record = F.struct(*fields)
-    number = seeded_order(seed, F.col("person_id"), F.col("data_source"), *[F.col(v) for v in spec.values])
-    ties = {t.flag: F.when(F.min(t.value) != F.max(t.value), F.lit(1)).alias(t.flag) for t in spec.ties}
-    picked = best.groupBy("person_id").agg(
-        F.max("record_date").alias("record_date"), F.min(F.struct(number.alias("number"), record.alias("record"))).alias("pick"), *ties.values()
+    tied = best.groupBy("person_id").agg(
+        F.max("record_date").alias("record_date"),
+        F.sort_array(F.collect_list(F.struct(*fields, "copies"))).alias("tied"),
     )
 
-    any_tie = reduce(lambda a, b: a | b, [F.col(flag).isNotNull() for flag in ties])
-    shown = picked.filter(any_tie).select("person_id")
-    tied = best.join(shown, "person_id", "left_semi").groupBy("person_id").agg(F.sort_array(F.collect_list(F.struct(*fields, "copies"))).alias("tied"))
+    def drawn(record: Column) -> Column:
+        number = seeded_order(seed, F.col("person_id"), record["data_source"], *[record[v] for v in spec.values])
+        return F.struct(number.alias("number"), record.alias("record"))
+
+    lone = F.size("tied") == 1
+    pick = F.when(lone, F.col("tied")[0]).otherwise(F.array_min(F.transform("tied", drawn))["record"])
+    flags = {}
+    for tie in spec.ties:
+        known = F.array_distinct(F.array_compact(F.transform("tied", lambda record: record[tie.value])))
+        flags[tie.flag] = F.when(~lone & (F.size(known) > 1), F.lit(1))
+    picked = tied.withColumns({"pick": pick, **flags})
 
     def listed(column: str) -> Column:
-        repeated = F.transform("tied", lambda entry: F.array_repeat(entry[column], entry["copies"]))
+        repeated = F.transform("tied", lambda record: F.array_repeat(record[column], record["copies"]))
         return F.array_compact(F.flatten(repeated))
 
     lists = {name: F.when(F.col(t.flag) == 1, listed(column)) for t in spec.ties for name, column in t.lists.items()}
-    chosen = {name: F.col("pick.record")[name] for name in ("data_source", *spec.values)}
+    chosen = {name: F.col("pick")[name] for name in ("data_source", *spec.values)}
     made = {**chosen, **lists}
-    return picked.join(tied, "person_id", "left").select(*[made[name].alias(name) if name in made else F.col(name) for name in spec.output])
+    return picked.select(*[made[name].alias(name) if name in made else F.col(name) for name in spec.output])
 
 
 _PRIORITY = {"gdppr": 1, "hes_apc": 2, "hes_op": 3, "hes_ae": 3}

@@ -178,10 +178,7 @@ def test_plans(spark, tmp_path, plan):
     text = plan(rl.select_sex(df, max_record_date="2024-01-01"))
     assert "LessThanOrEqual(record_date,2024-01-01)" in text and "IsNotNull(sex)" in text
     assert "Window" not in text
-    # Lists are gathered behind the semi-join with the persons that have a tie to report.
-    gathered = [line for line in text.splitlines() if "partial_collect_list" in line]
-    assert len(gathered) == 1 and "LeftSemi" in text[text.index(gathered[0]) :]
-    assert text.count("partial_min(standing") >= 1 and "partial_count(1)" in text
+    assert "partial_min(standing" in text and "partial_count(1)" in text
 
 
 def test_one_person_with_most_rows(spark):
