@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from recordloom.llm import words
 from recordloom.llm.labelled import training_rows
-from recordloom.llm.tables import by_batches
+from recordloom.llm.tables import by_batches, written
 
 #: Labelled rows that a chain is fitted to, at most.
 TRAINING_ROWS = 20_000
@@ -142,8 +142,12 @@ def fit_chain(value: np.ndarray, first: np.ndarray, y: np.ndarray, fold: np.ndar
     n = len(y)
     owner = np.repeat(np.arange(n), np.diff(first))
     chain = Chain(categories, _vocabulary(owner, value, y) if n else np.zeros(0, np.uint64), [])
-    row, column = chain.entries(value, first)
-    size = len(chain.vocabulary)
+    return _fit(chain, *chain.entries(value, first), y, fold)
+
+
+def _fit(chain: Chain, row: np.ndarray, column: np.ndarray, y: np.ndarray, fold: np.ndarray) -> Chain:
+    """The models of a chain whose vocabulary is known, from the rows and columns of known words."""
+    n, size, categories = len(y), len(chain.vocabulary), chain.categories
     extra = np.zeros((n, 0))
     for k in range(len(categories)):
         target = y[:, k].astype(float)
@@ -165,30 +169,62 @@ def fit_chain(value: np.ndarray, first: np.ndarray, y: np.ndarray, fold: np.ndar
     return chain
 
 
+def corpus_vocabulary(rows: DataFrame, categories: list[str]) -> np.ndarray:
+    """The same choice of words, counted by Spark: only the words chosen come to the driver."""
+    totals = rows.agg(F.count(F.lit(1)).alias("rows"), *[F.sum(c).alias(c) for c in categories]).first()
+    n = totals["rows"]
+    if not n:
+        return np.zeros(0, np.uint64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for texts in words.slices(batch.column("text")):
+                value, first = word_sets(texts)
+                owner = np.repeat(np.arange(len(texts)), np.diff(first)) + texts.first
+                unique, place = np.unique(value, return_inverse=True)
+                inside = [np.bincount(place, np.asarray(batch.column(c))[owner], len(unique)).astype(np.int64) for c in categories]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(unique.view(np.int64)), pa.array(np.bincount(place, minlength=len(unique)).astype(np.int64)), *map(pa.array, inside)],
+                    ["word", "n", *categories],
+                )
+
+    counted = by_batches(rows, run, "word long, n long, " + ", ".join(f"`{c}` long" for c in categories))
+    counted = counted.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("n", *categories)]).where(F.col("n") >= LEAST_DOCUMENTS)
+    best = F.lit(0.0)
+    for c in categories:
+        share = float(totals[c]) / n
+        gap = F.col(c) - F.col("n") * share
+        spread = F.greatest(F.col("n") * (n - F.col("n")) * (share * (1 - share)), F.lit(1e-9))
+        best = F.greatest(best, gap * gap * n / spread)
+    chosen = counted.withColumn("best", best).where("best > 0").orderBy(F.desc("best"), "word").limit(VOCABULARY)
+    return np.sort(chosen.select("word").toPandas()["word"].to_numpy(np.int64).view(np.uint64))
+
+
 def train(docs: DataFrame, labels: DataFrame, categories: list[str], *, limit: int = TRAINING_ROWS, **names: str) -> Chain:
-    """A chain fitted to at most ``limit`` labelled rows; their word sets, not their texts, come to the driver.
+    """A chain fitted to at most ``limit`` labelled rows; only the places of their known words come to the driver.
 
     Copies of a text share a fold, and count once, with their largest label.
     """
     rows = training_rows(docs, labels, categories, limit, **names)
     rows = rows.groupBy(F.coalesce("text", F.lit("")).alias("text")).agg(*[F.max(c).alias(c) for c in categories])
+    rows = written(rows.withColumn("order", F.xxhash64("text")), "training-rows")
+    chain = Chain(categories, corpus_vocabulary(rows, categories), [])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts in words.slices(batch.column("text")):
-                value, first = word_sets(texts)
-                cut = [value[a:b].tobytes() for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
-                kept = [batch.column(c).slice(texts.first, len(texts)) for c in categories]
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(cut, pa.binary())], [*categories, "words"])
-
-    sample = by_batches(rows, run, ", ".join(f"`{c}` int" for c in categories) + ", words binary").toPandas()
-    sample = sample.sort_values(["words", *categories], ignore_index=True)  # whatever the order of rows
-    sets = [np.frombuffer(x, np.uint64) for x in sample["words"]]
-    first = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int64)
-    value = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-    fold = np.array([int(words.mix(s.sum(dtype=np.uint64, keepdims=True))[0] % np.uint64(FOLDS)) for s in sets], np.int64)
+                row, column = chain.entries(*word_sets(texts))
+                first = np.searchsorted(row, np.arange(len(texts) + 1))
+                cut = [column[a:b].astype("<i4").tobytes() for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
+                kept = [batch.column(c).slice(texts.first, len(texts)) for c in ("order", *categories)]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(cut, pa.binary())], ["order", *categories, "columns"])
+
+    sample = by_batches(rows, run, "order long, " + ", ".join(f"`{c}` int" for c in categories) + ", columns binary").toPandas()
+    sample = sample.sort_values("order", ignore_index=True)  # whatever the order of rows
+    column = np.frombuffer(b"".join(sample["columns"]), "<i4").astype(np.int64)
+    row = np.repeat(np.arange(len(sample)), sample["columns"].map(len).to_numpy(np.int64) // 4) if len(sample) else column
     y = sample[categories].to_numpy(int) if len(sample) else np.zeros((0, len(categories)), int)
-    return fit_chain(value, first, y, fold, categories)
+    return _fit(chain, row, column, y, sample["order"].to_numpy(np.int64) % FOLDS)
 
 
 def predict(docs: DataFrame, chain: Chain, *, flag: str | None = None, threshold: float = 0.5, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
