@@ -87,6 +87,12 @@ def splitters(rows: DataFrame, total: int, ranges: int) -> tuple[np.ndarray, pd.
         boundaries = np.unique(np.concatenate(new))
 
 
+def _shard_of(before: Column, size: Column, total: int, shards: int) -> Column:
+    """The shard of the middle of a row's bytes, in whole numbers: a quotient of decimals would be rounded to six places first."""
+    place = (2 * before + size).cast("decimal(38,0)") * shards
+    return F.least(F.call_function("div", place, F.lit(2 * total).cast("decimal(38,0)")), F.lit(shards - 1).cast("long")).cast("int")
+
+
 def assign(rows: DataFrame, shards: int) -> DataFrame:
     """``rows``, which has ``doc_id``, ``key`` and ``size``, with ``shard`` and ``slot``.
 
@@ -111,7 +117,7 @@ def assign(rows: DataFrame, shards: int) -> DataFrame:
         .withColumns({"__bytes": F.sum("size").over(inside) - F.col("size"), "__row": F.count(F.lit(1)).over(inside) - 1})
         .join(F.broadcast(starts), "__range")  # one row a range
         .withColumns({"__bytes": F.col("__bytes") + F.col("__bytes_before"), "__row": F.col("__row") + F.col("__rows_before")})
-        .withColumn("shard", F.floor((2 * F.col("__bytes") + F.col("size")).cast("decimal(38,0)") * shards / F.lit(2 * total).cast("decimal(38,0)")).cast("int"))
+        .withColumn("shard", _shard_of(F.col("__bytes"), F.col("size"), total, shards))
     )
     firsts = placed.groupBy("shard").agg(F.min("__row").alias("__first"))
     return (

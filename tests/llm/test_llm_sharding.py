@@ -48,6 +48,17 @@ def test_overfull_ranges_are_subdivided(spark, monkeypatch):
     assert len(boundaries) >= 64 and found["rows"].sum() == 4000 and found["rows"].max() < 400
 
 
+@pytest.mark.parametrize("last", [8, 1000, 2000])
+def test_a_small_last_row_of_a_large_table_is_in_the_last_shard(spark, last):
+    sizes = F.when(F.col("id") < 300, F.lit(100_000_000)).otherwise(F.lit(last)).cast("long")
+    rows = spark.range(301).select(F.col("id").alias("doc_id"), F.col("id").alias("key"), sizes.alias("size"))
+    got = {r["doc_id"]: r["shard"] for r in sharding.assign(rows, 24).collect()}
+    total = 300 * 100_000_000 + last
+    middle = lambda k: 2 * k * 100_000_000 + (100_000_000 if k < 300 else last)
+    assert got == {k: middle(k) * 24 // (2 * total) for k in range(301)}
+    assert got[300] == 23
+
+
 def test_odd_rows(odd_docs, no_docs):
     got = sharding.shard(odd_docs, 4)
     assert got.count() == odd_docs.count()
