@@ -342,7 +342,7 @@ def _grouped(member: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def _linked(texts: DataFrame, words_per_gram: int, percent: int) -> DataFrame:
-    """(doc_id, text_hash, n, component_id) for every row of ``texts``."""
+    """(doc_id, text_hash, n, group, component_id) for every row of ``texts``; without n-grams, ``group`` is the text's hash."""
     threshold = Threshold(percent)
     sketch = written(sketches(texts, words_per_gram, threshold, frequent_grams(texts, words_per_gram)), "sketches")
     live = live_postings(postings(sketch), percent)
@@ -360,8 +360,8 @@ def _linked(texts: DataFrame, words_per_gram: int, percent: int) -> DataFrame:
     rows = sketch.select("doc_id", "text_hash", "n", "fp").join(grouped.select("fp", "group"), "fp", "left")
     rows = rows.select("doc_id", "text_hash", "n", F.coalesce("group", "fp").alias("group"))
     least = rows.where("n > 0").groupBy("group").agg(F.min("doc_id").alias("component_id"))
-    alone = rows.where("n = 0").select("doc_id", "text_hash", "n", F.col("doc_id").alias("component_id"))
-    return rows.where("n > 0").join(least, "group").select("doc_id", "text_hash", "n", "component_id").unionByName(alone)
+    alone = rows.where("n = 0").select("doc_id", "text_hash", "n", F.col("text_hash").alias("group"), F.col("doc_id").alias("component_id"))
+    return rows.where("n > 0").join(least, "group").select("doc_id", "text_hash", "n", "group", "component_id").unionByName(alone)
 
 
 def linked_documents(
@@ -383,14 +383,17 @@ def one_of_each(
 ) -> DataFrame:
     """The rows of ``docs`` with the smallest id of their component, one a component, with all their columns.
 
-    Of repeated rows with that id one stays. Of rows with a null id one stays for each text, unless they are linked with a
-    row that has an id.
+    Rows with that id but other texts may belong to other components, and each component keeps its own. Of rows of one
+    component with that id the text of the smallest hash stays, and of rows equal in id and text one. Of rows with a null
+    id one stays for each text, unless they are linked with a row that has an id.
     """
     found = written(_linked(_texts(docs, id_column, text_column), words_per_gram, percent), "components")
     own = [F.col(f"`{c}`") for c in docs.columns]
     own_id, hashed = F.col(f"`{id_column}`"), F.xxhash64(F.col(f"`{text_column}`").cast("string"))
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias(id_column)).distinct()
-    named = docs.where(own_id.isNotNull()).join(kept, id_column, "left_semi").dropDuplicates([id_column]).select(*own)
+    heads = found.where("doc_id = component_id").groupBy((F.col("n") == 0).alias("empty"), "group", "doc_id")
+    kept = heads.agg(F.min("text_hash").alias("__text_hash")).select(F.col("doc_id").alias(id_column), "__text_hash")
+    key = [id_column, "__text_hash"]
+    named = docs.where(own_id.isNotNull()).withColumn("__text_hash", hashed).join(kept, key, "left_semi").dropDuplicates(key).select(*own)
     nameless = found.where("doc_id IS NULL AND component_id IS NULL").select(F.col("text_hash").alias("__text_hash")).distinct()
     others = docs.where(own_id.isNull()).withColumn("__text_hash", hashed).join(nameless, "__text_hash", "left_semi").dropDuplicates(["__text_hash"])
     return named.unionByName(others.select(*own))

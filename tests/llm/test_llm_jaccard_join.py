@@ -97,3 +97,14 @@ def test_odd_rows(odd_docs, no_docs):
     assert kept.columns == odd_docs.columns
     assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == [0, 1, 2, 3, 4, 7, 10]
     assert j.linked_documents(no_docs).count() == 0 and j.one_of_each(no_docs).count() == 0
+
+
+def test_rows_of_one_id_keep_a_row_for_each_component(spark):
+    draw = random.Random(5)
+    first, second = (" ".join(f"{c}{draw.randrange(10_000)}" for _ in range(80)) for c in "ab")
+    rows = [(1, first), (1, second), (1, first + " end"), (1, first), (2, first), (3, second + " end"), (1, ""), (1, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for parts in (1, 5):
+        kept = [tuple(r) for r in j.one_of_each(docs.repartition(parts)).collect()]
+        assert len(kept) == 4 and {(1, second), (1, ""), (1, None)} < set(kept)
+        assert len({(1, first), (1, first + " end")} & set(kept)) == 1
