@@ -4,11 +4,13 @@ Each benchmark item is cut into overlapping segments. A place in a text where a
 edits shares at least ``length - Q + 1 - Q * EDITS`` q-grams with it (each edit destroys ``Q`` at most), all within a
 band of diagonals as wide as the edits and a stretch of text little longer than the segment. So: mark the text's
 q-grams that any item has; keep dense stretches; count hits by item and overlapping band of diagonals; keep regions with
-enough of them; align those regions with their segments inside the band.
+enough of them; align those regions with their segments inside the band. Items too short for that are looked for as
+whole words, without edits.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,12 +30,14 @@ SEGMENT = 64
 STRIDE = 16
 #: Edits allowed in a segment; a shorter item is allowed its share.
 EDITS = 4
-#: Items of less than this many bytes are too short to be told from chance and are not looked for.
+#: Items of less than this many bytes have too few q-grams to be counted; they are looked for as whole words without edits.
 SHORTEST = 24
 #: Bytes of benchmark text that one pass looks for; a larger benchmark takes more passes.
 BLOCK_BYTES = 4 << 20
 #: Bits of the first test of a q-gram.
 _TEST_BITS = 24
+#: The same for short items, for each length.
+_SHORT_BITS = 18
 _U = np.uint64
 _MULTIPLY = _U(0x9E3779B97F4A7C15)
 
@@ -60,6 +64,103 @@ def q_grams(data: np.ndarray) -> np.ndarray:
     return np.ndarray((len(data) - Q + 1,), "<u8", np.ascontiguousarray(data), strides=(1,))
 
 
+def _shape(data: np.ndarray) -> np.ndarray:
+    """Of each byte, whether it is an ASCII letter, digit or underscore."""
+    return ((data >= 97) & (data <= 122)) | ((data >= 65) & (data <= 90)) | ((data >= 48) & (data <= 57)) | (data == 95)
+
+
+def _joins(left: str, right: str) -> bool:
+    """Whether two characters side by side belong to one word; in scripts without blanks between words none do."""
+
+    def part(c: str) -> bool:
+        return c == "_" or c.isalnum() or unicodedata.category(c)[0] == "M"
+
+    def alone(c: str) -> bool:
+        k = ord(c)
+        return 0xE00 <= k < 0xF00 or 0x1000 <= k < 0x10A0 or 0x1780 <= k < 0x1800 or 0x2E80 <= k < 0xD7B0 or 0xF900 <= k < 0xFB00 or 0xFF66 <= k < 0xFFA0 or k >= 0x20000
+
+    return part(left) and part(right) and not alone(left) and not alone(right)
+
+
+def _character(data: np.ndarray, at: int, step: int) -> str:
+    """The character of UTF-8 that begins (``step`` 1) or ends (-1) at a byte."""
+    first = at
+    while step < 0 and data[first] & 0xC0 == 0x80:
+        first -= 1
+    return data[first : first + 4].tobytes().decode("utf-8", "ignore")[0]
+
+
+def _ends_a_word(data: np.ndarray, at: int) -> bool:
+    """Whether no word goes on from the byte before ``at`` to the one there."""
+    return not _joins(_character(data, at - 1, -1), _character(data, at, 1))
+
+
+@dataclass
+class ShortItems:
+    """Items of less than ``SHORTEST`` bytes without the blanks around them, by length: the three q-grams that cover
+    each text, a hash of these in order, and the items that have this text."""
+
+    by_length: dict[int, tuple[np.ndarray, np.ndarray, list[list[int]], np.ndarray]]
+
+    @staticmethod
+    def _covers(gram: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+        if length <= Q:
+            whole = gram[at] & _U((1 << 8 * length) - 1)
+            return np.stack([whole, whole, whole])
+        return np.stack([gram[at], gram[at + min(Q, length - Q)], gram[at + length - Q]])
+
+    @staticmethod
+    def _hash(cover: np.ndarray) -> np.ndarray:
+        return words.mix(cover[0] + words.mix(cover[1] + words.mix(cover[2])))
+
+    @classmethod
+    def of(cls, texts: dict[int, bytes]) -> ShortItems:
+        lengths: dict[int, dict[bytes, list[int]]] = {}
+        for k, text in texts.items():
+            if text.strip():
+                lengths.setdefault(len(text.strip()), {}).setdefault(text.strip(), []).append(k)
+        out = {}
+        for length, own in lengths.items():
+            data = np.frombuffer(b"".join(x + bytes(Q) for x in own), np.uint8)
+            cover = cls._covers(q_grams(data), np.arange(len(own)) * (length + Q), length)
+            order = np.argsort(cls._hash(cover), kind="stable")
+            items = list(own.values())
+            hashed = cls._hash(cover)[order]
+            test = np.zeros(1 << _SHORT_BITS, bool)
+            test[hashed >> _U(64 - _SHORT_BITS)] = True
+            out[length] = (hashed, cover[:, order], [items[k] for k in order.tolist()], test)
+        return cls(out)
+
+    def matches(self, data: np.ndarray, offsets: np.ndarray) -> set[tuple[int, int]]:
+        """(document, item) for documents that hold an item's text and no word goes on beyond it."""
+        out: set[tuple[int, int]] = set()
+        for at in range(0, len(data), words.PIECE) if self.by_length else ():
+            gram = q_grams(np.concatenate([data[at : at + words.PIECE + SHORTEST], np.zeros(SHORTEST + Q, np.uint8)]))
+            around = np.concatenate([data[max(0, at - 1) : at], np.zeros(int(at == 0), np.uint8), data[at : at + words.PIECE + SHORTEST], np.zeros(1, np.uint8)])
+            inner = _shape(around)
+            inner = inner[1:] & inner[:-1]  # of each place, whether an ASCII word goes on into it
+            edge = np.zeros(len(inner), bool)
+            edge[offsets[(offsets >= at) & (offsets < at + len(inner))] - at] = True
+            begins = np.flatnonzero((~inner | edge)[: min(words.PIECE, len(data) - at)])
+            for length, (hashed, cover, items, test) in self.by_length.items():
+                place = begins[begins + length <= len(data) - at]
+                place = place[~inner[place + length] | edge[place + length]]
+                own = self._covers(gram, place, length)
+                mixed = self._hash(own)
+                likely = test[mixed >> _U(64 - _SHORT_BITS)]
+                place, own, mixed = place[likely], own[:, likely], mixed[likely]
+                known = np.minimum(np.searchsorted(hashed, mixed), len(hashed) - 1)
+                same = (cover[:, known] == own).all(axis=0)
+                place, known = place[same] + at, known[same]
+                of = np.searchsorted(offsets, place, "right") - 1
+                low, high = offsets[of], offsets[of + 1]
+                fits = place + length <= high
+                for p, k, d, a, b in zip(*(x[fits].tolist() for x in (place, known, of, low, high))):
+                    if (d, items[k][0]) not in out and (p == a or _ends_a_word(data, p)) and (p + length == b or _ends_a_word(data, p + length)):
+                        out.update((d, item) for item in items[k])
+        return out
+
+
 @dataclass
 class Index:
     """Items of one block: their bytes, where their q-grams are, and a bitmap of these."""
@@ -72,15 +173,18 @@ class Index:
     item: np.ndarray
     place: np.ndarray
     test: np.ndarray
+    short: ShortItems
 
     @classmethod
     def of(cls, ids: list[int], texts: list[str | None]) -> Index:
         data, offsets = folded(pa.array(texts, pa.string()))
-        item, place = [], []
+        item, place, short = [], [], {}
         for k, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
             if b - a >= SHORTEST:
                 place.append(np.arange(b - a - Q + 1))
                 item.append(np.full(b - a - Q + 1, k))
+            else:
+                short[k] = data[a:b].tobytes()
         item_ = np.concatenate(item) if item else np.zeros(0, np.int64)
         place_ = np.concatenate(place) if place else np.zeros(0, np.int64)
         gram = q_grams(data)[offsets[item_] + place_] if len(item_) else np.zeros(0, _U)
@@ -88,7 +192,7 @@ class Index:
         grams, first = np.unique(gram[order], return_index=True)
         test = np.zeros(1 << _TEST_BITS, bool)
         test[(grams * _MULTIPLY) >> _U(64 - _TEST_BITS)] = True
-        return cls(np.array(ids, np.int64), data, offsets, grams, np.append(first, len(gram)), item_[order], place_[order], test)
+        return cls(np.array(ids, np.int64), data, offsets, grams, np.append(first, len(gram)), item_[order], place_[order], test, ShortItems.of(short))
 
     def segments(self, item: int) -> list[tuple[int, int, int]]:
         """(start, length, edits) of an item's segments; the last one ends with the item."""
@@ -127,7 +231,11 @@ def aligned(pattern: np.ndarray, text: np.ndarray, low: int, high: int, edits: i
 
 
 def matches(data: np.ndarray, offsets: np.ndarray, index: Index) -> list[tuple[int, int]]:
-    """(document, item) for documents that hold a segment of an item; ``data`` holds folded texts one after the other."""
+    """(document, item) for documents that hold a segment of an item or a short item; ``data`` holds folded texts one after the other."""
+    return sorted({*_segment_matches(data, offsets, index), *index.short.matches(data, offsets)})
+
+
+def _segment_matches(data: np.ndarray, offsets: np.ndarray, index: Index) -> list[tuple[int, int]]:
     if len(data) < Q or not len(index.grams):
         return []
     needed = min(least_hits(n, e) for k in range(len(index.ids)) if index.offsets[k + 1] - index.offsets[k] >= SHORTEST for _, n, e in index.segments(k))
@@ -237,9 +345,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, id_column: str = "do
     """One row per row of ``docs``: ``doc_id``, ``n_items``, ``item_ids`` (sorted) and ``contaminated``.
 
     A document is contaminated by an item if it holds one of the item's segments of ``SEGMENT`` bytes within ``EDITS``
-    edits, case and white space apart; an item shorter than a segment must be there as a whole. Null and empty texts
-    hold nothing; items that are null or shorter than ``SHORTEST`` bytes are not looked for. ``carry`` adds the row
-    itself as ``row``. Each block of the benchmark is a pass over the documents, and results are united by rows.
+    edits, case and white space apart; an item shorter than a segment must be there as a whole, one shorter than
+    ``SHORTEST`` bytes as whole words and without edits. Null and empty texts hold nothing; items that are null or
+    blank are held by nothing. ``carry`` adds the row itself as ``row``. Each block of the benchmark is a pass over the documents, and results are united by rows.
     """
     rows = docs.select(
         F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").cast("string").alias("text"),

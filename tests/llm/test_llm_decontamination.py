@@ -91,3 +91,32 @@ def test_odd_rows(spark, odd_docs, no_docs, sf):
     assert clean.columns == odd_docs.columns and {r["doc_id"] for r in clean.collect()} == {0, 1, 2, 3, 7, 8, 10, None}
     assert d.contamination(no_docs, benchmark).count() == 0
     assert d.contamination(odd_docs, benchmark.limit(0)).where("contaminated").count() == 0
+
+
+def test_short_items_are_found_as_whole_words(spark, make_docs):
+    items = ["Short Item", "ab", "x1", "What is\tlight?", "two words of 23 bytes..", "naïve", "光合作用", "  padded ", "...", " ", "ab"]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    texts = ["a SHORT \n item.", "ashort item", "short items", "ab", "cab abc xab", "(x1)", "x12 0x1 _x1", "so: what is light? yes", "two words of 23 bytes..", "“NAÏVE”"]
+    texts += ["naïvely", "什么是光合作用的意义", "unpadded padded", "wait...", "shor", "t item", "", "AB " * 3, "naïv", "z ab"]
+    expected = [[0], [], [], [1, 10], [], [2], [], [3], [4], [5], [], [6], [7], [8], [], [], [], [1, 10], [], [1, 10]]
+    got = {r["doc_id"]: (r["item_ids"], r["contaminated"]) for r in d.contamination(make_docs(texts), benchmark).collect()}
+    assert got == {k: (e, bool(e)) for k, e in enumerate(expected)}
+
+
+def test_short_items_agree_with_a_plain_search_across_pieces(monkeypatch):
+    monkeypatch.setattr(d.words, "PIECE", 50)
+    draw = random.Random(8)
+    prose = lambda n: " ".join("".join(draw.choices("ab", k=draw.randrange(1, 4))) for _ in range(n))
+    items = sorted({prose(draw.randrange(1, 7))[:23].strip() for _ in range(60)})
+    texts = [prose(draw.randrange(0, 40)) for _ in range(60)]
+    data, offsets = d.folded(pa.array(texts))
+    expected = {(k, i) for k, t in enumerate(texts) for i, item in enumerate(items) if f" {item} " in f" {t} "}
+    assert set(d.matches(data, offsets, d.Index.of(list(range(len(items))), items))) == expected and expected
+
+
+def test_any_excerpt_of_71_bytes_is_found():
+    draw = random.Random(9)
+    item = "".join(draw.choices("abcdefghijklmnop", k=203))
+    texts = [f"{'y' * 40}{item[s : s + 71]}{'z' * 40}" for s in range(203 - 71 + 1)]
+    data, offsets = d.folded(pa.array(texts))
+    assert [k for k, _ in d.matches(data, offsets, d.Index.of([0], [item]))] == list(range(len(texts)))
