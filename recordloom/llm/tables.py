@@ -29,10 +29,15 @@ def scratch_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new place in scratch storage."""
+    return f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows written to scratch storage and read back: they are computed once, and their lineage is cut."""
     spark = df.sparkSession
-    path = f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
