@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -136,7 +137,7 @@ def _candidates(batches: Iterator[pa.RecordBatch], packing: Packing) -> Iterator
     for batch in batches:
         for at in range(0, batch.num_rows, CANDIDATES):
             part = batch.slice(at, CANDIDATES)
-            part = part.take(pa.compute.sort_indices(part.column("vec_id")))
+            part = part.take(pc.sort_indices(part.column("vec_id")))
             yield part.column("vec_id").to_numpy(), part.column("label").to_numpy(), packing.of_column(part.column("parts"))
 
 

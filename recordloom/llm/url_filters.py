@@ -18,9 +18,10 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recordloom.llm.tables import written
 from recordloom.operators.codelists import BROADCAST_CHARACTERS, BROADCAST_ROWS, fits_broadcast
 
-RULE_SCHEMA = "kind string, pattern string, verdict string"
+RULE_SCHEMA = "kind: string, pattern: string, verdict: string"
 _RULE = "array<array<struct<key: string, place: boolean, pattern: string, verdict: string, regex: string>>>"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -74,14 +75,15 @@ def compiled(rules: DataFrame) -> DataFrame:
 
 def rule_index(rules: DataFrame, urls: DataFrame, url_column: str = "url") -> DataFrame:
     """The compiled rules with ``key``, of a rule's tokens the one in the fewest rows of ``urls`` (ties: the least); empty if it has none."""
-    ready = compiled(rules)
+    ready = written(compiled(rules), "url-rules")
     candidates = ready.select("place", "pattern", F.explode_outer("tokens").alias("token"))
     wanted = candidates.select("token").where("token IS NOT NULL").distinct()
     met = urls.select(F.explode(tokens_of(F.col(f"`{url_column}`").cast("string"))).alias("token"))
     counts = met.join(F.broadcast(wanted) if fits_broadcast(wanted) else wanted, "token", "left_semi").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     rated = candidates.join(counts, "token", "left")
     keys = rated.groupBy("place", "pattern").agg(F.min(F.when(F.col("token").isNotNull(), F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token"))).alias("least"))
-    return ready.join(keys, ["place", "pattern"]).select(F.coalesce("least.token", F.lit("")).alias("key"), "place", "pattern", "verdict", "regex")
+    found = ready.join(keys, ["place", "pattern"]).select(F.coalesce("least.token", F.lit("")).alias("key"), "place", "pattern", "verdict", "regex")
+    return written(found, "url-rules")  # it is read more than once, and counting tokens reads all URLs
 
 
 def _fits(rule: Column, url: Column, target: Column) -> Column:
@@ -145,4 +147,5 @@ def judge(pages: DataFrame, rules: DataFrame, *, id_column: str = "page_id", url
 
 def rule_table(spark: SparkSession, rules: list[tuple[str, str, str]]) -> DataFrame:
     """A table of rules given as (kind, pattern, verdict)."""
-    return spark.createDataFrame(rules, RULE_SCHEMA)
+    held = json.dumps([dict(zip(("kind", "pattern", "verdict"), rule)) for rule in rules])
+    return spark.sql("SELECT inline(from_json(:rules, :type))", args={"rules": held, "type": f"array<struct<{RULE_SCHEMA}>>"})
