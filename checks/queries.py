@@ -895,6 +895,20 @@ def update_demographics(spark, sf):
     return rl.load_table(spark, "gdppr_demographics_all_versions", directory)
 
 
+@query("update_demographics_changed", _DEMOGRAPHICS)
+def update_demographics_changed(spark, sf):
+    """The older versions are first delivered with other contents; the update finds and rebuilds those, and only those."""
+    keys = ("gdppr_all_versions", "gdppr_demographics_all_versions", "fingerprints")
+    directory = entries(scratch_database(spark, "update_demographics_changed"), *keys)
+    rows = view(spark, sf, "gdppr_demographics")
+    older = F.col("archived_on") <= F.lit("1998-01-01").cast("date")
+    rl.save_table(rows.withColumn("sex", F.when(older, "?").otherwise(F.col("sex"))), keys[0], directory, "archived_on")
+    rl.update_demographics(spark, directory, fingerprints="fingerprints")
+    rl.save_table(rows, keys[0], directory, "archived_on")
+    rl.update_demographics(spark, directory, fingerprints="fingerprints")
+    return rl.load_table(spark, keys[1], directory)
+
+
 def _as_delivered(df: DataFrame, name: str) -> DataFrame:
     """Vaccination dates come as digits; all other tables are delivered like the views."""
     if name != "vaccine_status":

@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 BROADCAST_ROWS = 200_000
 BROADCAST_CHARACTERS = 50_000_000
+#: Words of 64 bits of a key filter, about ten bits a key for lists of 1.6 million keys.
+FILTER_WORDS = 1 << 18
 
 
 def read_codelist(
@@ -71,6 +73,25 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_characters
     return rows <= max_rows and (characters or 0) <= max_characters
 
 
+def key_filter(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """The rows of ``df`` whose key may be among ``keys``: all that are, and few others.
+
+    The hashes of the keys set bits of a map of ``FILTER_WORDS`` words, whose size is therefore known however many
+    keys there are; it is broadcast, so what cannot match never reaches a shuffle. A map of very many keys lets more
+    pass, never less. Keys of different types are compared by casts that hashes do not know, so they are not filtered.
+    """
+    kinds = {df.schema[on].dataType, keys.schema[on].dataType}
+    if len(kinds) > 1 or not isinstance(kinds.pop(), (T.StringType, T.IntegralType, T.DateType)):
+        return df
+    place = lambda column: F.pmod(F.xxhash64(column), F.lit(64 * FILTER_WORDS))
+    word = lambda column: F.shiftright(place(column), 6)
+    bit = lambda column: F.pmod(place(column), F.lit(64)).cast("int")
+    known = keys.filter(F.col(on).isNotNull()).select(word(F.col(on)).alias("__word"), bit(F.col(on)).alias("__bit"))
+    bits = known.groupBy("__word").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("__bit"))).alias("__bits"))
+    same = (word(df[on]) == F.col("__word")) & (F.getbit(F.col("__bits"), bit(df[on])) == 1)
+    return df.join(F.broadcast(bits), same, "left_semi")
+
+
 def match_codelist(
     df: DataFrame,
     codelist: DataFrame,
@@ -81,10 +102,13 @@ def match_codelist(
     """Attach a codelist by code: ``inner`` keeps listed rows, ``left`` keeps all, ``left_semi`` only filters.
 
     The codelist is broadcast when it is proven small: by the caller (``small=True``, for lists fixed in code) or by
-    a bounded count. A larger one is joined by a shuffle, which adaptive execution splits where a code is hot.
+    a bounded count. A larger one is joined by a shuffle, which adaptive execution splits where a code is hot; unless all
+    rows are kept, those whose code cannot be listed are left out before it (``key_filter``).
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"Unknown join type {how!r}.")
     if small is None:
         small = fits_broadcast(codelist)
-    return df.join(F.broadcast(codelist) if small else codelist, on, how)
+    if small:
+        return df.join(F.broadcast(codelist), on, how)
+    return (df if how == "left" else key_filter(df, codelist, on)).join(codelist, on, how)

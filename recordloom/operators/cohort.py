@@ -64,10 +64,10 @@ def inclusion_flowchart(
 ) -> DataFrame:
     """Rows and distinct persons left after each criterion, and how many the criterion excluded.
 
-    One pass and one shuffle of a narrow row per person: rows per person and step are counted map-side, so a person
-    (or the missing person id) holding many rows arrives as one row per task. The totals are a single row, from
-    which the flowchart rows are written out; the difference to the step before needs no window over the data.
-    Rows without a person id count as rows but not as persons.
+    As steps are cumulative, a row is described by the last step it reached. One pass makes two histograms of these depths,
+    of rows and of persons by their greatest one; what is shuffled is a person and a depth, combined map-side, whatever
+    the number of criteria. Sums from a depth on give the chart; the difference to the step before needs no window over
+    the data. Rows without a person id count as rows but not as persons.
     """
     _check_criteria(criteria)
     missing = [c for c in (row_id_col, person_id_col, *_steps(criteria)) if c not in flagged.columns]
@@ -75,15 +75,23 @@ def inclusion_flowchart(
         raise ValueError(f"Missing required columns: {', '.join(missing)}.")
 
     steps = _steps(criteria)
-    per_person = flagged.groupBy(F.col(person_id_col).alias("person")).agg(
-        *[F.count_if(F.col(step)).alias(step) for step in steps]
+    # steps are cumulative, so the last one reached says it all
+    reached = F.coalesce(*[F.when(F.col(step), F.lit(i)) for i, step in reversed(list(enumerate(steps)))])
+    narrow = flagged.select(F.col(person_id_col).alias("person"), reached.alias("reached")).withColumn("deepest", F.col("reached"))
+    # one pass for both histograms: rows by depth, and the greatest depth of each person
+    depths = narrow.groupingSets([[F.col("person")], [F.col("reached")]], "person", "reached").agg(
+        (F.grouping("reached") == 1).alias("of_person"), F.max("deepest").alias("deepest"), F.count(F.lit(1)).alias("n")
     )
-    totals = per_person.agg(
-        *[F.coalesce(F.sum(step), F.lit(0)).alias(f"rows_{i}") for i, step in enumerate(steps)],
-        *[
-            F.count_if((F.col(step) > 0) & F.col("person").isNotNull()).alias(f"ids_{i}")
-            for i, step in enumerate(steps)
-        ],
+    # one row for each person and each depth by now; a missing person id is no person
+    known = ~F.col("of_person") | F.col("person").isNotNull()
+    number = F.when(F.col("of_person"), F.lit(1).cast("long")).otherwise(F.col("n"))
+
+    def beyond(of_person: bool, i: int):
+        return F.coalesce(F.sum(F.when(known & (F.col("of_person") == of_person) & (F.col("deepest") >= i), number)), F.lit(0).cast("long"))
+
+    totals = depths.agg(
+        *[beyond(False, i).alias(f"rows_{i}") for i in range(len(steps))],
+        *[beyond(True, i).alias(f"ids_{i}") for i in range(len(steps))],
     )
 
     labels = [("Original table", ""), *criteria.items()]

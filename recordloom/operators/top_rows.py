@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recordloom.operators.codelists import BROADCAST_ROWS
+from recordloom.operators.hot_keys import has_key, hot_keys
 
 _METHODS = {"row_number": F.row_number, "rank": F.rank, "dense_rank": F.dense_rank}
 _ORDER_TEXT = re.compile(r"^\s*(.+?)(?:\s+(asc|desc))?(?:\s+nulls\s+(first|last))?\s*$", re.IGNORECASE | re.DOTALL)
@@ -62,7 +63,7 @@ def top_rows(
     order_by: OrderKey | Sequence[OrderKey] | None = None,
     return_index_column: bool = False,
     index_column_name: str = "row_index",
-    heavy_ties: bool = False,
+    heavy_ties: bool | None = None,
 ) -> DataFrame:
     """Rows whose index within their group is at most ``n``.
 
@@ -70,10 +71,11 @@ def top_rows(
     Order keys are Columns or text such as ``'age desc nulls last'``; the default places nulls first when ascending.
 
     Per group, Spark drops rows beyond rank ``n`` in every task before the shuffle, so a large group shrinks to
-    its candidates first. What it cannot shrink are rows that tie within the first ``n``: with ``heavy_ties`` the
-    ranks are worked out on counted distinct keys and joined back, and adaptive execution may split a hot key
-    over many tasks. That costs a shuffle more, which most groups do not repay, so it is the caller's choice. Ranks
-    over a whole table always go this way, where the keys to join back are at most ``n``.
+    its candidates first. What it cannot shrink are rows that tie within the first ``n``, so ranks can also be worked out
+    on counted distinct keys and joined back, where adaptive execution may split a hot key over many tasks, for a
+    shuffle more. By default only groups that a sketch of the group keys finds to hold very many rows go this way, and inputs
+    too small for that are not measured (see ``hot_keys``); ``heavy_ties`` sends all groups or none of them. Ranks over a
+    whole table always go this way, where the keys to join back are at most ``n``.
     """
     if method not in _METHODS:
         raise ValueError(f"Unknown method {method!r}; allowed are {', '.join(_METHODS)}.")
@@ -91,8 +93,14 @@ def top_rows(
     elif method != "row_number" and (heavy_ties or not groups):
         indexed = _ranked_by_distinct_key(df, method, n, groups, keys, index_column_name)
     else:
+        measured = method != "row_number" and heavy_ties is None
+        hot = hot_keys(df, groups) if measured else []
+        rest = df.filter(~has_key(groups, hot)) if hot else df
         index = _METHODS[method]().over(_window(groups, keys))
-        indexed = df.withColumn(index_column_name, index).filter(F.col(index_column_name) <= n)
+        indexed = rest.withColumn(index_column_name, index).filter(F.col(index_column_name) <= n)
+        if hot:
+            heavy = df.filter(has_key(groups, hot))
+            indexed = indexed.unionByName(_ranked_by_distinct_key(heavy, method, n, groups, keys, index_column_name))
     return indexed if return_index_column else indexed.drop(index_column_name)
 
 

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordloom.functions import seeded_order
 from recordloom.operators.filters import exclude_codes, filter_sources, require, within_dates
+from recordloom.operators.hot_keys import has_key, hot_keys
 from recordloom.sources.codelist_values import ETHNICITY_NULL_CODES
 
 SEED = 124910
@@ -77,16 +79,25 @@ def _standing(spec: SelectionSpec, priority: Mapping[str, int] | None) -> Column
 
 
 def _best_rows(rows: DataFrame, spec: SelectionSpec, priority: Mapping[str, int] | None) -> DataFrame:
-    """Each person's best rows, equal ones combined and counted in ``copies``.
+    """Each person's best rows, with the number of equal ones in ``copies``.
 
-    The best standing of a person is a minimum, combined map-side into a number per person and task. Joined back, it
-    leaves the best rows only, and adaptive execution may split a person with very many rows. Equal rows are then
-    counted map-side, so a large group of them is never shuffled either.
+    By default one scan and one shuffle: every task cuts its persons to their best rows first, and the rank leaves those of the
+    best standing. What one task gets of a person then are the rows that tie. Where a person holds so many rows that these could
+    be too many for a task, the rows of such persons are counted by their whole content instead, which combines equal ones
+    map-side and spreads the others, and the distinct ones are ranked: a shuffle more, for these persons only.
     """
-    ranked = rows.withColumn("standing", _standing(spec, priority))
-    lowest = ranked.groupBy("person_id").agg(F.min("standing").alias("lowest"))
-    best = ranked.join(lowest, "person_id").filter("standing = lowest")
-    return best.groupBy("person_id", "data_source", *spec.values, "record_date").agg(F.count(F.lit(1)).cast("int").alias("copies"))
+    ranked = rows.select("person_id", "record_date", "data_source", *spec.values, _standing(spec, priority).alias("standing"))
+    person = Window.partitionBy("person_id").orderBy("standing")
+
+    def best(of: DataFrame) -> DataFrame:
+        return of.withColumn("place", F.rank().over(person)).filter("place = 1").drop("place", "standing")
+
+    hot = hot_keys(ranked, ["person_id"])
+    if not hot:
+        return best(ranked.withColumn("copies", F.lit(1)))
+    is_hot = has_key(["person_id"], hot)
+    counted = ranked.filter(is_hot).groupBy(*ranked.columns).agg(F.count(F.lit(1)).cast("int").alias("copies"))
+    return best(ranked.filter(~is_hot).withColumn("copies", F.lit(1))).unionByName(best(counted))
 
 
 def select_records(
@@ -106,8 +117,8 @@ def select_records(
     of them with their sources, ordered by source and values, repeated as often as they occur; otherwise flag and
     arrays are null. Sources without a priority come last; ``priority_index=None`` gives all sources the same.
 
-    Nothing is assumed about equal rows. What is gathered per person are distinct best records with their number, so a
-    person with very many equal rows has one entry until a reported tie writes them out.
+    Nothing is assumed about equal rows or about how many rows a person has; see ``_best_rows``. A reported tie writes its
+    equal rows out, so its arrays are as long as the tie.
     """
     priority = spec.priority if priority_index is _DEFAULT else priority_index
     _check_priority(priority, spec.sources)
@@ -122,32 +133,29 @@ def select_records(
 
     best = _best_rows(usable, spec, priority)
 
-    # Struct order is list order: source, then the ordering values, then the rest. Equal rows are one entry, so a list
-    # holds a person's distinct best records: what a tie reports, or one value from several sources.
-    fields = ["data_source", *spec.tie_order, *[v for v in spec.values if v not in spec.tie_order]]
-    tied = best.groupBy("person_id").agg(
-        F.max("record_date").alias("record_date"),
-        F.sort_array(F.collect_list(F.struct(*fields, "copies"))).alias("tied"),
+    # Over a person's best rows: how many there are, and whether each tie holds more than one known value. Only persons
+    # with a tie to report have their rows gathered.
+    whole = Window.partitionBy("person_id")
+    flags = {t.flag: F.min(t.value).over(whole) != F.max(t.value).over(whole) for t in spec.ties}
+    flagged = best.withColumns({**flags, "lone": F.count(F.lit(1)).over(whole) == 1})
+
+    # Struct order is list order: source, then the ordering values, then the rest.
+    record = F.struct("data_source", *spec.tie_order, *[v for v in spec.values if v not in spec.tie_order], "record_date")
+    number = seeded_order(seed, F.col("person_id"), F.col("data_source"), *[F.col(v) for v in spec.values])
+    drawn = F.struct(F.when(~F.col("lone"), number).alias("number"), record.alias("record"))
+    any_tie = reduce(lambda a, b: a | b, [F.coalesce(F.col(t.flag), F.lit(False)) for t in spec.ties])
+    picked = flagged.groupBy("person_id").agg(
+        F.min(drawn)["record"].alias("pick"),
+        *[F.when(F.max(t.flag), F.lit(1)).alias(t.flag) for t in spec.ties],
+        F.sort_array(F.collect_list(F.when(any_tie, F.struct(record.alias("record"), "copies")))).alias("tied"),
     )
 
-    def drawn(record: Column) -> Column:
-        number = seeded_order(seed, F.col("person_id"), record["data_source"], *[record[v] for v in spec.values])
-        return F.struct(number.alias("number"), record.alias("record"))
-
-    lone = F.size("tied") == 1
-    pick = F.when(lone, F.col("tied")[0]).otherwise(F.array_min(F.transform("tied", drawn))["record"])
-    flags = {}
-    for tie in spec.ties:
-        known = F.array_distinct(F.array_compact(F.transform("tied", lambda record: record[tie.value])))
-        flags[tie.flag] = F.when(~lone & (F.size(known) > 1), F.lit(1))
-    picked = tied.withColumns({"pick": pick, **flags})
-
     def listed(column: str) -> Column:
-        repeated = F.transform("tied", lambda record: F.array_repeat(record[column], record["copies"]))
+        repeated = F.transform("tied", lambda entry: F.array_repeat(entry["record"][column], entry["copies"]))
         return F.array_compact(F.flatten(repeated))
 
     lists = {name: F.when(F.col(t.flag) == 1, listed(column)) for t in spec.ties for name, column in t.lists.items()}
-    chosen = {name: F.col("pick")[name] for name in ("data_source", *spec.values)}
+    chosen = {name: F.col("pick")[name] for name in ("data_source", "record_date", *spec.values)}
     made = {**chosen, **lists}
     return picked.select(*[made[name].alias(name) if name in made else F.col(name) for name in spec.output])
 

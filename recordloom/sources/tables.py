@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -113,6 +114,10 @@ def save_table(
 
     Partitioned writes are rebalanced by the partition columns: adaptive execution merges small pieces and splits
     a partition that holds much of the data, so neither many tiny files nor one overlong task results.
+
+    A managed table is replaced by a staged write: the rows are written to a table beside it, which takes its name only when
+    it is complete. A job that fails leaves the old rows, and ``df`` may read the table that it replaces; afterwards, it
+    has to be loaded anew.
     """
     name = qualified_name(key, directory)
     columns = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
@@ -120,12 +125,46 @@ def save_table(
         raise ValueError("partition_by must be a string or a list of strings.")
     if columns:
         df = df.hint("rebalance", *columns)
+    spark = df.sparkSession
+    if mode == "overwrite" and spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType == "MANAGED":
+        _replace_table(df, name, columns)
+    else:
+        _write_table(df, name, columns, mode)
+
+
+def _write_table(df: DataFrame, name: str, columns: list[str], mode: str) -> None:
     writer = df.write.mode(mode).option("overwriteSchema", "true")
     if columns:
         writer = writer.partitionBy(*columns)
     writer.saveAsTable(name)
 
 
+def _rename_table(spark: SparkSession, name: str, to: str) -> None:
+    spark.sql(f"ALTER TABLE {name} RENAME TO {to}")
+    if _partition_columns(spark, to):
+        # the folder has moved, and a catalog may still list the partitions at their old places
+        spark.sql(f"ALTER TABLE {to} RECOVER PARTITIONS")
+
+
+def _replace_table(df: DataFrame, name: str, columns: list[str]) -> None:
+    """Write beside the table, and put the result in its place by renaming only when it is complete."""
+    spark, mark = df.sparkSession, uuid.uuid4().hex[:12]
+    staged, replaced = f"{name}__staged_{mark}", f"{name}__replaced_{mark}"
+    try:
+        _write_table(df, staged, columns, "errorifexists")
+        _rename_table(spark, name, replaced)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {staged}")
+        raise
+    try:
+        _rename_table(spark, staged, name)
+    except Exception:
+        _rename_table(spark, replaced, name)
+        spark.sql(f"DROP TABLE IF EXISTS {staged}")
+        raise
+    spark.sql(f"DROP TABLE {replaced}")
+
+
 def export_small_csv(df: DataFrame, path: str, max_rows: int = 1000, **options) -> None:
     """Write a small result, such as a disclosure-checked table, as one CSV file in the directory ``path``.
 

@@ -2,6 +2,7 @@ import pytest
 
 import recordloom as rl
 from recordloom.operators import codelists
+from recordloom.operators import codelists
 
 
 @pytest.fixture
@@ -63,7 +64,9 @@ def test_large_codelists_are_not_hinted(spark, coded, plan, monkeypatch):
     assert not rl.fits_broadcast(many, max_rows=99)
     assert not rl.fits_broadcast(many, max_characters=1000)
     joined = rl.match_codelist(coded, many, small=False)
-    assert "hint" not in joined._jdf.queryExecution().logical().toString().lower()
+    # the list itself is not hinted; the only hint is on the key filter, whose size is known
+    assert joined._jdf.queryExecution().logical().toString().count("ResolvedHint") == 1
+    assert "hint" not in rl.match_codelist(coded, many, how="left", small=False)._jdf.queryExecution().logical().toString().lower()
 
 
 def test_packaged_lists(spark):
@@ -85,3 +88,24 @@ def test_pre_2003_categories():
 def test_doubled_quotes(spark, csv, rows):
     path = csv('code,description\n001,"a ""quoted"" text, more"\n002,"two\nlines"\n003,NA\n')
     assert rows(rl.read_codelist(spark, path)) == [("001", 'a "quoted" text, more'), ("002", "two\nlines"), ("003", "NA")]
+
+
+def test_a_large_codelist_filters_before_the_shuffle(spark, rows, plan, monkeypatch):
+    df = spark.range(4000).selectExpr("concat('c', id % 1000) as code", "id").unionByName(spark.createDataFrame([(None, -1)], "code string, id bigint"))
+    codes = spark.range(0, 3000, 30).selectExpr("concat('c', id) as code", "concat('text ', id) as text").unionByName(spark.createDataFrame([(None, "none")], "code string, text string"))
+    for how in ("inner", "left", "left_semi"):
+        small, large = (rl.match_codelist(df, codes, how=how, small=s) for s in (True, False))
+        assert rows(large) == rows(small) and large.columns == small.columns
+        text = plan(rl.match_codelist(df, codes, how=how, small=False))
+        assert ("bit_or" in text) == (how != "left")
+    filtered = codelists.key_filter(df, codes, "code")
+    assert filtered.count() == 136 and "bit_or" in plan(filtered)
+    # a full map lets rows pass, and loses none
+    monkeypatch.setattr(codelists, "FILTER_WORDS", 1)
+    assert rows(rl.match_codelist(df, codes, small=False)) == rows(rl.match_codelist(df, codes, small=True))
+
+
+def test_keys_of_different_types_are_not_filtered(spark, rows):
+    df = spark.createDataFrame([(1,), (2,)], "code int")
+    codes = spark.createDataFrame([("01",), ("3",)], "code string")
+    assert rows(rl.match_codelist(df, codes, small=False)) == rows(rl.match_codelist(df, codes, small=True)) == [(1,)]

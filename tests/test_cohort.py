@@ -74,10 +74,14 @@ def test_arguments_are_checked(cohort):
         rl.apply_inclusion_criteria(cohort.withColumnRenamed("visits", "criteria_9"), {"a": "true"})
 
 
-def test_one_hash_exchange_and_no_expand(cohort, plan):
-    text = plan(rl.inclusion_flowchart(rl.flag_inclusion(cohort, CRITERIA), CRITERIA))
-    assert text.count("Exchange hashpartitioning") == 1
-    assert "Expand" not in text and "Window" not in text and "Join" not in text
+def test_one_hash_exchange_whatever_the_number_of_criteria(cohort, plan):
+    for n in (2, 9):
+        criteria = {f"c{i}": f"visits > {i}" for i in range(n)}
+        text = plan(rl.inclusion_flowchart(rl.flag_inclusion(cohort, criteria), criteria))
+        assert text.count("Exchange hashpartitioning") == 1 and text.count("Exchange") == 2
+        assert "Window" not in text and "Join" not in text
+        # what is shuffled is a key and two numbers, of rows doubled once
+        assert "partial_max(deepest" in text and "partial_count(1)" in text and text.count("Expand") == 1
 
 
 def test_counts_agree_with_the_direct_way(spark):

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import recordloom as rl
+from recordloom.operators import hot_keys
 from recordloom.plans.selection import SEED
 
 DAY = dt.date(2020, 1, 1)
@@ -177,8 +178,8 @@ def test_plans(spark, tmp_path, plan):
     df = spark.read.parquet(path)
     text = plan(rl.select_sex(df, max_record_date="2024-01-01"))
     assert "LessThanOrEqual(record_date,2024-01-01)" in text and "IsNotNull(sex)" in text
-    assert "Window" not in text
-    assert "partial_min(standing" in text and "partial_count(1)" in text
+    # one scan; every task cuts its persons to their best rows, then one shuffle of these
+    assert text.count("FileScan") == 1 and text.count("Exchange") == 1 and text.count("WindowGroupLimit") == 2
 
 
 def test_one_person_with_most_rows(spark):
@@ -200,6 +201,20 @@ def test_one_person_with_most_rows(spark):
     assert got.count() == df.select("person_id").distinct().count()
 
 
+def test_persons_with_very_many_rows_go_another_way(spark, rows, plan, monkeypatch):
+    data = [tuple(row.values()) for row in random_sex_rows(3000, 60)]
+    data += [("hot", LATER, str(k % 3), "MFI"[k % 3], "gdppr") for k in range(3000)]
+    df = sex_rows(spark, data)
+    monkeypatch.setattr(hot_keys, "MEASURED_BYTES", 1 << 70)
+    usual = rl.select_sex(df)
+    monkeypatch.setattr(hot_keys, "MEASURED_BYTES", 0)
+    monkeypatch.setattr(hot_keys, "HOT_ROWS", 1000)
+    split = rl.select_sex(df)
+    assert rows(split) == rows(usual)
+    # of the hot person equal rows are counted in every task, and what is ranked are three rows
+    assert "partial_count(1)" in plan(split) and "partial_count(1)" not in plan(usual)
+
+
 def test_built_tables(spark, database, rows):
     keys = ("gdppr_demographics", "hes_apc", "lsoa_multisource", "lsoa_individual")
     directory = {key: {"database": database, "table_name": key} for key in keys}

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import recordloom as rl
+from recordloom.operators import hot_keys
 
 
 @pytest.fixture
@@ -109,3 +110,29 @@ def test_one_group_with_most_rows_and_ties(spark, rows):
     plain = rl.first_rank(df, 2, "g", "v", return_index_column=True)
     counted = rl.first_rank(df, 2, "g", "v", return_index_column=True, heavy_ties=True)
     assert rows(plain) == rows(counted) and plain.count() > 10_000
+
+
+@pytest.mark.parametrize("method", ["rank", "dense_rank"])
+def test_hot_groups_are_found_and_split_without_the_callers_help(spark, rows, plan, monkeypatch, method):
+    df = spark.range(30_000).selectExpr("if(id % 3 = 0, null, id % 700) as g", "cast(id % 5 as string) as v", "id")
+    plain = rl.top_rows(df, method, 2, "g", "v desc", True, heavy_ties=False)
+    monkeypatch.setattr(hot_keys, "MEASURED_BYTES", 0)
+    monkeypatch.setattr(hot_keys, "HOT_ROWS", 5_000)
+    split = rl.top_rows(df, method, 2, "g", "v desc", True)
+    assert rows(split) == rows(plain)
+    text = plan(split)
+    assert text.count("WindowGroupLimit") >= 2 and "HashAggregate" in text and "Union" in text
+    # no group is hot: the window alone
+    monkeypatch.setattr(hot_keys, "HOT_ROWS", 50_000)
+    text = plan(rl.top_rows(df, method, 2, "g", "v desc", True))
+    assert "HashAggregate" not in text and "Union" not in text
+
+
+def test_hot_keys_are_those_with_many_rows(spark, monkeypatch):
+    df = spark.range(10_000).selectExpr("if(id % 4 = 0, 'a', concat('k', id % 3000)) as k")
+    assert hot_keys.hot_keys(df, ["k"]) == []
+    monkeypatch.setattr(hot_keys, "MEASURED_BYTES", 0)
+    monkeypatch.setattr(hot_keys, "HOT_ROWS", 1000)
+    found = hot_keys.hot_keys(df, ["k"])
+    assert df.filter(hot_keys.has_key(["k"], found)).select("k").distinct().collect() == [("a",)]
+    assert hot_keys.hot_keys(df.limit(0), ["k"]) == []
