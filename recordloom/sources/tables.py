@@ -144,6 +144,7 @@ def _rename_table(spark: SparkSession, name: str, to: str) -> None:
     if _partition_columns(spark, to):
         # the folder has moved, and a catalog may still list the partitions at their old places
         spark.sql(f"ALTER TABLE {to} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(to)  # a table of that name may have been read before
 
 
 def _replace_table(df: DataFrame, name: str, columns: list[str]) -> None:

@@ -188,6 +188,7 @@ def test_a_table_may_be_replaced_by_what_is_read_from_it(spark, database, rows,
     rl.save_table(spark.range(6).selectExpr("id", "id % 2 as part"), "t", directory, partition_by)
     for _ in range(2):
         own = rl.load_table(spark, "t", directory)
+        assert own.count() == 6  # what the session remembers of the old files must not be used
         rl.save_table(own.selectExpr("id + 10 as id", "'x' as added", "part"), "t", directory, partition_by)
     got = rl.load_table(spark, "t", directory)
     assert rows(got, "id", "added") == [(k + 20, "x") for k in range(6)]
