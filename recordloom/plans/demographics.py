@@ -117,9 +117,9 @@ def update_demographics(
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({VERSION_COLUMN} = '{version}')")
     if missing:
         own = _replacing_only_written_partitions(spark)
-        records = load_table(own, source, directory, method)
-        kind = records.schema[VERSION_COLUMN].dataType
-        wanted = records.filter(F.col(VERSION_COLUMN).isin([F.lit(v).cast(kind) for v in missing]))
+        again = load_table(own, source, directory, method)
+        kind = again.schema[VERSION_COLUMN].dataType
+        wanted = again.filter(F.col(VERSION_COLUMN).isin([F.lit(v).cast(kind) for v in missing]))
         columns = spark.table(name).columns
         added = summarise_demographics(wanted).select(*columns).hint("rebalance", VERSION_COLUMN)
         added.write.mode("overwrite").insertInto(name)
