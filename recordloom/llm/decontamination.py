@@ -13,6 +13,7 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -328,15 +329,15 @@ def _regions(place: np.ndarray, of: np.ndarray, item: np.ndarray, where: np.ndar
     return found
 
 
-def benchmark_blocks(benchmark: DataFrame, *, id_column: str = "item_id", text_column: str = "text") -> list[list[tuple[int, str]]]:
+def benchmark_blocks(benchmark: DataFrame, *, id_column: str = "item_id", text_column: str = "text") -> list[list[tuple[Any, str]]]:
     """The benchmark in blocks of about ``BLOCK_BYTES``; one block is sent to the tasks at a time."""
-    blocks: list[list[tuple[int, str]]] = [[]]
+    blocks: list[list[tuple[Any, str]]] = [[]]
     size = 0
-    for row in benchmark.select(id_column, text_column).where(F.col(text_column).isNotNull() & F.col(id_column).isNotNull()).toLocalIterator():
+    for row in benchmark.select(id_column, text_column).where(F.col(text_column).isNotNull() & F.col(id_column).isNotNull()).distinct().toLocalIterator():
         if size > BLOCK_BYTES:
             blocks.append([])
             size = 0
-        blocks[-1].append((int(row[0]), row[1]))
+        blocks[-1].append((row[0], row[1]))
         size += len(row[1])
     return blocks
 
@@ -347,27 +348,28 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, id_column: str = "do
     A document is contaminated by an item if it holds one of the item's segments of ``SEGMENT`` bytes within ``EDITS``
     edits, case and white space apart; an item shorter than a segment must be there as a whole, one shorter than
     ``SHORTEST`` bytes as whole words and without edits. Null and empty texts hold nothing; items that are null or
-    blank are held by nothing. ``carry`` adds the row itself as ``row``. Each block of the benchmark is a pass over the documents, and results are united by rows.
+    blank are held by nothing. Item ids may be of any type; equal ids are one item, whatever texts they have. ``carry`` adds the row itself as ``row``. Each block of the benchmark is a pass over the documents, and results are united by rows.
     """
+    item = benchmark.schema["item_id"].dataType.simpleString()
     rows = docs.select(
         F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").cast("string").alias("text"),
-        *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []), F.array().cast("array<bigint>").alias("item_ids"),
+        *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []), F.array().cast(f"array<{item}>").alias("item_ids"),
     )
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
     for block in benchmark_blocks(benchmark):
         rows = by_batches(rows, _search(block), schema)
-    sorted_ids = F.array_sort("item_ids")
+    sorted_ids = F.array_sort(F.array_distinct("item_ids"))
     return rows.select(
-        F.col("id").alias(id_column), F.size("item_ids").cast("long").alias("n_items"), sorted_ids.alias("item_ids"), (F.size("item_ids") > 0).alias("contaminated"),
+        F.col("id").alias(id_column), F.size(sorted_ids).cast("long").alias("n_items"), sorted_ids.alias("item_ids"), (F.size("item_ids") > 0).alias("contaminated"),
         *(["row"] if carry else []),
     )
 
 
-def _search(block: list[tuple[int, str]]):  # type: ignore[no-untyped-def]
+def _search(block: list[tuple[Any, str]]):  # type: ignore[no-untyped-def]
     """Adds the block's items that a row's text holds to its ``item_ids``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index.of([i for i, _ in block], [t for _, t in block])
+        index = Index.of(list(range(len(block))), [t for _, t in block])
         for batch in batches:
             texts = batch.column("text")
             found = batch.column("item_ids").to_pylist()
@@ -377,10 +379,10 @@ def _search(block: list[tuple[int, str]]):  # type: ignore[no-untyped-def]
                 last = max(first + 1, int(np.searchsorted(size, (size[first - 1] if first else 0) + words.SLICE, "right")))
                 data, offsets = folded(texts.slice(first, last - first))
                 for k, item in matches(data, offsets, index):
-                    found[first + k].append(int(index.ids[item]))
+                    found[first + k].append(block[int(index.ids[item])][0])
                 first = last
             place = batch.schema.get_field_index("item_ids")
-            yield batch.set_column(place, batch.schema.field(place), pa.array(found, pa.list_(pa.int64())))
+            yield batch.set_column(place, batch.schema.field(place), pa.array(found, batch.schema.field(place).type))
 
     return run
 

@@ -359,7 +359,8 @@ def _linked(texts: DataFrame, words_per_gram: int, percent: int) -> DataFrame:
     grouped = _grouped(member, components(links.unionByName(more)))
     rows = sketch.select("doc_id", "text_hash", "n", "fp").join(grouped.select("fp", "group"), "fp", "left")
     rows = rows.select("doc_id", "text_hash", "n", F.coalesce("group", "fp").alias("group"))
-    least = rows.where("n > 0").groupBy("group").agg(F.min("doc_id").alias("component_id"))
+    # written, so that adaptive execution sees two plain sides and can split a large component or send the other side
+    least = written(rows.where("n > 0").groupBy("group").agg(F.min("doc_id").alias("component_id")), "least")
     alone = rows.where("n = 0").select("doc_id", "text_hash", "n", F.col("text_hash").alias("group"), F.col("doc_id").alias("component_id"))
     return rows.where("n > 0").join(least, "group").select("doc_id", "text_hash", "n", "group", "component_id").unionByName(alone)
 
@@ -388,12 +389,11 @@ def one_of_each(
     id one stays for each text, unless they are linked with a row that has an id.
     """
     found = written(_linked(_texts(docs, id_column, text_column), words_per_gram, percent), "components")
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    own_id, hashed = F.col(f"`{id_column}`"), F.xxhash64(F.col(f"`{text_column}`").cast("string"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    keyed = docs.select(row, F.col(f"`{id_column}`").alias("id"), F.xxhash64(F.col(f"`{text_column}`").cast("string")).alias("hash"))
     heads = found.where("doc_id = component_id").groupBy((F.col("n") == 0).alias("empty"), "group", "doc_id")
-    kept = heads.agg(F.min("text_hash").alias("__text_hash")).select(F.col("doc_id").alias(id_column), "__text_hash")
-    key = [id_column, "__text_hash"]
-    named = docs.where(own_id.isNotNull()).withColumn("__text_hash", hashed).join(kept, key, "left_semi").dropDuplicates(key).select(*own)
-    nameless = found.where("doc_id IS NULL AND component_id IS NULL").select(F.col("text_hash").alias("__text_hash")).distinct()
-    others = docs.where(own_id.isNull()).withColumn("__text_hash", hashed).join(nameless, "__text_hash", "left_semi").dropDuplicates(["__text_hash"])
-    return named.unionByName(others.select(*own))
+    kept = heads.agg(F.min("text_hash").alias("hash")).select(F.col("doc_id").alias("id"), "hash")
+    named = keyed.where("id IS NOT NULL").join(kept, ["id", "hash"], "left_semi").dropDuplicates(["id", "hash"])
+    nameless = found.where("doc_id IS NULL AND component_id IS NULL").select(F.col("text_hash").alias("hash")).distinct()
+    others = keyed.where("id IS NULL").join(nameless, "hash", "left_semi").dropDuplicates(["hash"])
+    return named.select("row").unionByName(others.select("row")).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -126,18 +126,18 @@ def stream_pieces(own: dict, start: int, size: int) -> list[tuple[int, int, int]
 
 
 def stream_offsets(rows: DataFrame, n_rows: int, seed: int) -> DataFrame:
-    """``rows`` (``key``, ``doc_id``, ``size``, ...) with ``start``, the tokens of its source before it in the seeded order.
+    """``rows`` (``key``, ``doc_id``, ``text_hash``, ``size``, ...) with ``start``, the tokens of its source before it in the seeded order.
 
     The order is that of a hash, whose upper bits part each source; parts are summed first, then put in order each for
-    itself, so a source with a third of all rows is spread.
+    itself, so a source with a third of all rows is spread, and so are rows of one id with different texts.
     """
     bits = max(0, int(np.ceil(np.log2(max(1, n_rows / ROWS_PER_PART)))))
-    order = F.xxhash64(F.col("doc_id"), F.lit(seed))
+    order = F.xxhash64(F.col("doc_id"), F.col("text_hash"), F.lit(seed))
     part = F.shiftrightunsigned(order, 64 - bits) if bits else F.lit(0).cast("long")
     ordered = rows.withColumns({"__order": order}).withColumn("__part", part)
     sums = ordered.groupBy("key", "__part").agg(F.sum("size").alias("__n"))
     before = sums.select("key", "__part", (F.sum("__n").over(Window.partitionBy("key").orderBy("__part")) - F.col("__n")).alias("__before"))
-    inside = Window.partitionBy("key", "__part").orderBy("__order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy("key", "__part").orderBy("__order", "doc_id", "text_hash", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
         ordered.join(before, ["key", "__part"])
         .withColumn("start", F.col("__before") + F.sum("size").over(inside) - F.col("size"))
@@ -150,13 +150,14 @@ def mix(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text"
 
     ``pieces`` lists (shard, first, last) word positions the mix takes; a document taken twice has its words in two
     shards or twice in one. ``carry`` adds the row itself as ``row``. A null or wordless text has size 0 and nothing is
-    taken; a null source is a source of its own, the last one; equal ids lie together in the stream. One row per source
+    taken; a null source is a source of its own, the last one; of rows of one id, only those with one text are interchangeable. One row per source
     comes to the driver. An empty table gives an empty result.
     """
     source = F.col(f"`{source_column}`").cast("string")
     key = F.when(source.isNull(), "-").otherwise(F.concat(F.lit("+"), source))
+    text = F.col(f"`{text_column}`").cast("string")
     rows = docs.select(
-        key.alias("key"), F.col(f"`{id_column}`").alias("doc_id"), word_count(F.col(f"`{text_column}`").cast("string")).alias("size"),
+        key.alias("key"), F.col(f"`{id_column}`").alias("doc_id"), F.xxhash64(text).alias("text_hash"), word_count(text).alias("size"),
         *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []),
     )
     if not carry:
@@ -165,7 +166,7 @@ def mix(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text"
     plans = {("+" + p["source"]) if p["source"] is not None else "-": p for p in plan({None if r["key"] == "-" else r["key"][1:]: int(r["size"]) for r in sums}, seed=seed)}
     placed = stream_offsets(rows, sum(r["rows"] for r in sums), seed)
     schema = placed.schema
-    keep = [c for c in schema.names if c not in ("key", "start")]
+    keep = [c for c in schema.names if c not in ("key", "text_hash", "start")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

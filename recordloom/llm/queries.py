@@ -16,8 +16,6 @@ from recordloom.llm import (
 )
 from recordloom.llm.tables import table, written
 
-#: The folder of public vocabulary files; a parameter of the query, never copied.
-TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 SHARDS = 24
 
 
@@ -47,7 +45,9 @@ def shipped[**P](query: Callable[P, DataFrame]) -> Callable[P, DataFrame]:
 
 
 def token_count(spark: SparkSession, folder: str) -> DataFrame:
-    return token_counts.count_tokens(table(spark, folder, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
+    import public_tokenizers  # only this query needs it; the vocabulary file is never copied
+
+    return token_counts.count_tokens(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def toxicity_chain(spark: SparkSession, folder: str) -> DataFrame:

@@ -36,15 +36,15 @@ MANY_CONTEXTS = 20_000
 _U = np.uint64
 _NO_ID = np.iinfo(np.int64).min
 
-_FOUND = "doc long, tie int, kind int, data binary"
+_FOUND = "doc long, tie long, kind int, data binary"
 _SPAN, _REQUEST, _MANY, _TEXT = 0, 1, 2, -1
 
 
-def _keys(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(doc, tie, text): the order of documents is that of ids, then of a hash of the text; a null id comes first."""
+def _keys(docs: DataFrame, id_column: str, text_column: str, seed: int) -> DataFrame:
+    """(doc, tie, text): the order of documents is that of ids, then of a 64-bit hash of the text; a null id comes first."""
     text = F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit(""))
     doc = F.coalesce(F.col(f"`{id_column}`").cast("long"), F.lit(_NO_ID))
-    return docs.select(doc.alias("doc"), F.hash(text).alias("tie"), text.alias("text"))
+    return docs.select(doc.alias("doc"), F.xxhash64(text, F.lit(seed)).alias("tie"), text.alias("text"))
 
 
 def _grouped(doc: np.ndarray, tie: np.ndarray, columns: list[np.ndarray]) -> Iterator[tuple[int, int, bytes]]:
@@ -72,14 +72,14 @@ def _spans(doc: np.ndarray, tie: np.ndarray, start: np.ndarray, end: np.ndarray)
 
 def _batch(rows: list[tuple], kind: int, bucket: np.ndarray | None = None) -> pa.RecordBatch:
     doc, tie, data = (list(x) for x in zip(*rows)) if rows else ([], [], [])
-    columns = [pa.array(doc, pa.int64()), pa.array(tie, pa.int32()), pa.array([kind] * len(doc), pa.int32()), pa.array(data, pa.binary())]
+    columns = [pa.array(doc, pa.int64()), pa.array(tie, pa.int64()), pa.array([kind] * len(doc), pa.int32()), pa.array(data, pa.binary())]
     names = ["doc", "tie", "kind", "data"]
     if bucket is not None:
         columns, names = [pa.array(bucket, pa.int32()), *columns], ["bucket", *names]
     return pa.RecordBatch.from_arrays(columns, names)
 
 
-_RECORD = np.dtype([("gram", "<u8"), ("context", "<u8"), ("doc", "<i8"), ("tie", "<i4"), ("low", "<i4"), ("end", "<i4")])
+_RECORD = np.dtype([("gram", "<u8"), ("context", "<u8"), ("doc", "<i8"), ("tie", "<i8"), ("low", "<i4"), ("end", "<i4")])
 
 
 def _first_and_later(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -193,7 +193,10 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, by
                     yield (*own, text, times, rest)
                 own, text, times, rest = (doc, tie), b"", 0, []
             if kind == _TEXT:
-                text, times = (unpack(data) if not times else text), times + 1
+                own_text = unpack(data)
+                if times and own_text != text:
+                    raise ValueError(f"Two texts of the id {doc} have the same hash; give another seed.")
+                text, times = own_text, times + 1
             else:
                 rest.append((kind, data))
     if own is not None:
@@ -211,7 +214,7 @@ def _requested_bytes(texts: DataFrame, requests: DataFrame, length: int) -> Data
         rows: list[tuple] = []
 
         def batch() -> pa.RecordBatch:
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
             columns = list(zip(*rows)) or [()] * 6
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["key", "many", "doc", "tie", "low", "data"])
 
@@ -231,7 +234,7 @@ def _requested_bytes(texts: DataFrame, requests: DataFrame, length: int) -> Data
                 rows = []
         yield batch()
 
-    return _with_texts(texts, requests).mapInArrow(run, "key long, many int, doc long, tie int, low int, data binary")
+    return _with_texts(texts, requests).mapInArrow(run, "key long, many int, doc long, tie long, low int, data binary")
 
 
 def _earliest(doc: np.ndarray, tie: np.ndarray, low: np.ndarray) -> int:
@@ -289,7 +292,7 @@ def earlier_spans(rows: DataFrame, texts: DataFrame, length: int) -> DataFrame:
 
 
 def without_repeats(
-    docs: DataFrame, *, length: int = 100, id_column: str = "doc_id", text_column: str = "text", with_text: bool = True
+    docs: DataFrame, *, length: int = 100, id_column: str = "doc_id", text_column: str = "text", with_text: bool = True, seed: int = 9
 ) -> DataFrame:
     """One row per row of ``docs``: id, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and, if asked for, ``kept``.
 
@@ -297,10 +300,11 @@ def without_repeats(
     with a smaller id, or further left in the same one. All is judged on the input. ``kept`` are the bytes left, as
     binary, since a cut may part a character; ``n_spans`` counts the removed runs. Ids are whole numbers; a null id
     comes before all others. Rows with equal ids are ordered by a hash of their text; rows equal in both are the same
-    document, so they remove nothing from each other and have the same result each. Null texts are empty; texts
+    document, so they remove nothing from each other and have the same result each. Texts of one id are compared where their
+    64-bit hashes agree; should two differ, the job ends with an error, and another ``seed`` parts them. Null texts are empty; texts
     shorter than ``length`` stay whole. Strings are compared by 64-bit hashes where whole contexts agree.
     """
-    rows = _keys(docs, id_column, text_column)
+    rows = _keys(docs, id_column, text_column, seed)
     texts = _packed_texts(rows)
     spans = earlier_spans(rows, texts, length)
 

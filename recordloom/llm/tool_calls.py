@@ -88,11 +88,15 @@ def _call_message(call_id: str | None, name: str | None, arguments: str | None,
     errors, refs, text = [], [], arguments or ""
     try:
         value = json.loads(arguments or "", parse_constant=lambda c: (_ for _ in ()).throw(ValueError(c)))
-        text, refs = canonical(value), references(value)
+        written_out = canonical(value)
+        written_out.encode()  # an escaped half of a surrogate pair is no text
+        text, refs = written_out, references(value)
         if name not in schemas:
             errors.append("unknown tool")
         else:
             errors += violations(value, schemas[name])
+    except UnicodeEncodeError:
+        errors.append("arguments are not text")
     except (ValueError, RecursionError):
         errors.append("arguments are not JSON")
     function = {"name": name, "arguments": text}
@@ -119,8 +123,8 @@ def read_calls(calls: DataFrame, schemas: dict[str, dict]) -> DataFrame:
 
 
 def _key(call_id: str = "call_id") -> Column:
-    """Conversation and identifier as one text; null where there is no identifier."""
-    return F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit("-")), F.lit("\x1f"), F.col(call_id))
+    """Conversation and identifier as a pair, in which a null conversation is a value; null where there is no identifier."""
+    return F.when(F.col(call_id).isNotNull(), F.struct(F.col("conv_id").alias("conv"), F.col(call_id).alias("call")))
 
 
 def settled(calls: DataFrame, edges: DataFrame) -> DataFrame:

@@ -69,3 +69,21 @@ def test_odd_rows(odd_docs, no_docs):
             assert len(scored) == docs.count() and all(0 <= r["score"] <= 1 for r in scored)
             flagged = toxicity.predict(docs, toxicity.train(docs, own, ["quality", "toxic"]), flag="toxic")
             assert flagged.count() == docs.count()
+
+
+def test_the_bound_holds_for_documents_and_labels_without_documents_do_not_use_it_up(spark):
+    ids = [k for k in range(400) if k % 2 or k > 300]
+    docs = spark.createDataFrame([(k, f"text {k}") for k in ids] + [(1, f"other {n}") for n in range(2000)] + [(3, "text 3")] * 2000, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(10_000)], "doc_id bigint, quality int")
+    learnt = [k for k in ids if not held_out_plain(k)]
+    assert training_rows(docs, labels, ["quality"], 100).count() == 100
+    all_rows = sorted(map(tuple, training_rows(docs, labels, ["quality"], 100_000).collect()))
+    want = [(f"text {k}", k % 2) for k in learnt] + ([(f"other {n}", 1) for n in range(2000)] if 1 in learnt else [])
+    assert all_rows == sorted(want)
+    assert training_rows(docs, labels, ["quality"], len(learnt)).count() == len(learnt)
+
+
+def held_out_plain(doc_id):
+    import zlib
+
+    return zlib.crc32(str(doc_id).encode()) % 5 == 0

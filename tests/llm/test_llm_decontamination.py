@@ -120,3 +120,13 @@ def test_any_excerpt_of_71_bytes_is_found():
     texts = [f"{'y' * 40}{item[s : s + 71]}{'z' * 40}" for s in range(203 - 71 + 1)]
     data, offsets = d.folded(pa.array(texts))
     assert [k for k, _ in d.matches(data, offsets, d.Index.of([0], [item]))] == list(range(len(texts)))
+
+
+def test_ids_of_any_type_and_repeated_items(spark, make_docs):
+    item = "A passage of the benchmark that is long enough to be cut into whole segments, whatever comes before and after it here."
+    docs = make_docs(["before " + item + " after", "clean"])
+    rows = [("mmlu-1", item), ("mmlu-1", item), ("mmlu-1", item.upper()), ("arc", item), (None, item), ("none", None)]
+    got = d.contamination(docs, spark.createDataFrame(rows, "item_id string, text string")).orderBy("doc_id").collect()
+    assert [(r["n_items"], r["item_ids"]) for r in got] == [(2, ["arc", "mmlu-1"]), (0, [])]
+    numbers = spark.createDataFrame([(1, item), (1, item), (2, item)], "item_id int, text string")
+    assert d.contamination(docs, numbers).orderBy("doc_id").first()["item_ids"] == [1, 2]

@@ -108,3 +108,12 @@ def test_rows_of_one_id_keep_a_row_for_each_component(spark):
         kept = [tuple(r) for r in j.one_of_each(docs.repartition(parts)).collect()]
         assert len(kept) == 4 and {(1, second), (1, ""), (1, None)} < set(kept)
         assert len({(1, first), (1, first + " end")} & set(kept)) == 1
+
+
+def test_columns_of_a_caller_keep_their_values(spark):
+    text = " ".join(f"w{k}" for k in range(40))
+    names = ["__text_hash", "row", "id", "hash", "group", "n", "component_id"]
+    docs = spark.createDataFrame([(k, text if k < 3 else f"other {k}", *[10 * k + n for n in range(len(names))]) for k in range(5)], "doc_id bigint, text string, " + ", ".join(f"`{n}` bigint" for n in names))
+    kept = j.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect())) == sorted(tuple(r) for r in docs.collect() if r["doc_id"] in (0, 3, 4))

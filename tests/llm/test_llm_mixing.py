@@ -88,3 +88,16 @@ def test_odd_rows(odd_docs, no_docs):
     assert all(r["taken"] == 0 for r in rows if r["size"] == 0)
     assert mixing.mixed_documents(odd_docs).columns == odd_docs.columns
     assert mixing.mix(no_docs).count() == 0 and mixing.mixed_documents(no_docs).count() == 0
+
+
+def test_rows_of_one_id_are_spread(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from recordloom.llm import mixing
+
+    monkeypatch.setattr(mixing, "ROWS_PER_PART", 50)
+    docs = spark.range(800).selectExpr("if(id % 2 = 0, null, 7L) as doc_id", "concat('text number ', id) as text", "'s' as source")
+    rows = docs.select(F.lit("+s").alias("key"), "doc_id", F.xxhash64("text").alias("text_hash"), F.lit(3).cast("long").alias("size"))
+    placed = mixing.stream_offsets(rows, 800, 7)
+    assert [r["start"] for r in placed.orderBy("start").collect()] == list(range(0, 2400, 3))
+    assert sum(r["taken"] for r in mixing.mix(docs).collect()) in range(3590, 3620)

@@ -53,3 +53,14 @@ def test_odd_rows(odd_docs, no_docs):
     assert by_id[4] == [(base, base)] * 3 and sorted(by_id[None]) == [(0, 0), (base, 0)]
     assert by_id[6] == [(base + 5, base)] and by_id[0] == [(0, 0)] and by_id[3] == [(1, 0)]
     assert s.without_repeats(no_docs).count() == 0
+
+
+def test_rows_of_one_id_are_told_apart_by_more_than_a_32_bit_hash(spark):
+    from pyspark.sql import functions as F
+
+    texts = ["text number 157315", "text number 81052"]
+    docs = spark.createDataFrame([(None, t) for t in texts] + [(5, t) for t in texts], "doc_id bigint, text string")
+    assert docs.select(F.hash("text")).distinct().count() == 1
+    got = s.without_repeats(docs, length=100).collect()
+    want = [(k, len(t), 0, 0, hashlib.sha256(t.encode()).hexdigest(), t.encode()) for k in (None, 5) for t in texts]
+    assert sorted((tuple(r) for r in got), key=repr) == sorted(((*w[:5], bytearray(w[5])) for w in want), key=repr)

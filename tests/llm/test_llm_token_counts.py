@@ -1,12 +1,12 @@
 import random
 
+import public_tokenizers
 import pytest
 
-from recordloom.llm.queries import TOKENIZERS
 from recordloom.llm.token_counts import count_tokens
 
 tokenizers = pytest.importorskip("tokenizers")
-FILE = f"{TOKENIZERS}/byte_bpe_50k.json"
+FILE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = ["a", "s", "'s", "'re", "'ll", " ", "  ", "\n", "\t", "é", "日", "1", "²", "!", "'", "<|endoftext|>", "\x1c", "\x85", "\xa0", "🙂", "_", "Ⅷ", "the", " of"]
 
 

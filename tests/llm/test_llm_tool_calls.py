@@ -88,3 +88,20 @@ def test_query(spark, sf):
     for (conv, kind, call), at in place.items():
         if kind == 2 and (conv, 1, call) in place:
             assert place[conv, 1, call] < at
+
+
+def test_half_a_surrogate_pair_is_an_error_of_its_row(spark):
+    calls = [(1, 1, "a", "f", '{"x":"\\ud800"}'), (1, 2, "b", "f", '{"x":1,"\\udfff":2}'), (1, 3, "c", "f", '{"x":{"$ref":"\\ud800"}}'), (1, 4, "d", "f", '{"x":"\\ud83d\\ude00"}')]
+    rows = linked(spark, calls, [(1, 5, k, "r") for k in "abcd"])
+    errors = {r["call_id"]: r["errors"] for r in rows if r["kind"] == 1}
+    assert errors == {k: ["arguments are not text"] for k in "abc"} | {"d": []}
+    kept = next(json.loads(r["message"]) for r in rows if r["call_id"] == "a" and r["kind"] == 1)
+    assert kept["tool_calls"][0]["function"]["arguments"] == '{"x":"\\ud800"}'
+
+
+def test_a_null_conversation_is_no_other_one(spark):
+    schema = CALLS.replace("conv_id long", "conv_id string")
+    calls = spark.createDataFrame([(None, 1, "a", "f", '{"x":1}'), ("-", 1, "a", "f", '{"x":2}'), ("-\x1fa", 1, "b", "f", '{"x":3}'), ("-", 1, "a\x1fb", "f", '{"x":4}')], schema)
+    results = spark.createDataFrame([(None, 2, "a", "null's"), ("-", 2, "a", "dash's"), ("-\x1fa", 2, "b", "r"), ("-", 2, "a\x1fb", "r")], RESULTS.replace("conv_id long", "conv_id string"))
+    rows = t.link(calls, results, SCHEMAS).collect()
+    assert len(rows) == 8 and all(r["linked"] and r["valid"] for r in rows)
