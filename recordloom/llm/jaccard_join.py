@@ -391,9 +391,14 @@ def one_of_each(
     found = written(_linked(_texts(docs, id_column, text_column), words_per_gram, percent), "components")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     keyed = docs.select(row, F.col(f"`{id_column}`").alias("id"), F.xxhash64(F.col(f"`{text_column}`").cast("string")).alias("hash"))
-    heads = found.where("doc_id = component_id").groupBy((F.col("n") == 0).alias("empty"), "group", "doc_id")
-    kept = heads.agg(F.min("text_hash").alias("hash")).select(F.col("doc_id").alias("id"), "hash")
-    named = keyed.where("id IS NOT NULL").join(kept, ["id", "hash"], "left_semi").dropDuplicates(["id", "hash"])
+    texts = found.where("doc_id = component_id").groupBy((F.col("n") == 0).alias("empty"), "group", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("times"))
+    heads = texts.groupBy("empty", "group", "doc_id").agg(F.min(F.struct("text_hash", "times")).alias("head"))
+    kept = written(heads.select(F.col("doc_id").alias("id"), F.col("head.text_hash").alias("hash"), F.col("head.times").alias("times")), "heads")
+    # a row that is there once goes straight through; only repeated ones meet to be made one
+    known = keyed.where("id IS NOT NULL")
+    once = known.join(kept.where("times = 1").select("id", "hash"), ["id", "hash"], "left_semi")
+    again = known.join(kept.where("times > 1").select("id", "hash"), ["id", "hash"], "left_semi").dropDuplicates(["id", "hash"])
     nameless = found.where("doc_id IS NULL AND component_id IS NULL").select(F.col("text_hash").alias("hash")).distinct()
     others = keyed.where("id IS NULL").join(nameless, "hash", "left_semi").dropDuplicates(["hash"])
-    return named.select("row").unionByName(others.select("row")).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    rows = once.select("row").unionByName(again.select("row")).unionByName(others.select("row"))
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
