@@ -251,6 +251,12 @@ def long_rows(spark: SparkSession, sf: str, asset: str, sources: list[str] | Non
     return rl.combine_sources(parts)
 
 
+def long_persons(spark: SparkSession, sf: str, asset: str) -> DataFrame:
+    """The person ids of the views that feed an asset, in which hot persons are looked for."""
+    views = [view(spark, sf, spec.table).select("person_id") for spec in ASSETS[asset].sources.values()]
+    return rl.combine_sources(views).filter("person_id is not null")
+
+
 for _asset, _spec in ASSETS.items():
     _name = "covid_positive" if _asset == "covid_positive" else f"{_asset}_multisource"
     query(_name, o.multisource_sql(_asset))(lambda spark, sf, a=_asset: long_rows(spark, sf, a))
@@ -278,12 +284,13 @@ _DOB_SELECTION = o.selection_sql(
 @query("dob_individual", _DOB_SELECTION)
 def dob_individual(spark, sf):
     rows = long_rows(spark, sf, "date_of_birth")
-    return rl.select_date_of_birth(rows, max_record_date=_LAST_DAY, max_date_of_birth=_LAST_DAY)
+    persons = long_persons(spark, sf, "date_of_birth")
+    return rl.select_date_of_birth(rows, max_record_date=_LAST_DAY, max_date_of_birth=_LAST_DAY, persons=persons)
 
 
 @query("sex_individual", _sex_selection(o.long_table("sex")))
 def sex_individual(spark, sf):
-    return rl.select_sex(long_rows(spark, sf, "sex"), max_record_date=_LAST_DAY)
+    return rl.select_sex(long_rows(spark, sf, "sex"), max_record_date=_LAST_DAY, persons=long_persons(spark, sf, "sex"))
 
 
 @query(
@@ -301,6 +308,7 @@ def sex_individual_chosen_sources(spark, sf):
         max_record_date="2001-01-01",
         filter_data_sources=["hes_apc", "hes_op", "ssnap"],
         priority_index={"ssnap": 1, "hes_op": 2},
+        persons=long_persons(spark, sf, "sex"),
     )
 
 
@@ -330,7 +338,7 @@ _ETHNICITY_SELECTION = o.selection_sql(
 @query("ethnicity_individual", _ETHNICITY_SELECTION)
 def ethnicity_individual(spark, sf):
     rows = long_rows(spark, sf, "ethnicity")
-    return rl.select_ethnicity(rows, max_record_date=_LAST_DAY)
+    return rl.select_ethnicity(rows, max_record_date=_LAST_DAY, persons=long_persons(spark, sf, "ethnicity"))
 
 
 def _lsoa_selection(priority: dict | None) -> str:
@@ -340,13 +348,14 @@ def _lsoa_selection(priority: dict | None) -> str:
 
 @query("lsoa_individual", _lsoa_selection(_PRIORITY))
 def lsoa_individual(spark, sf):
-    return rl.select_lsoa(long_rows(spark, sf, "lsoa"), max_record_date=_LAST_DAY)
+    return rl.select_lsoa(long_rows(spark, sf, "lsoa"), max_record_date=_LAST_DAY, persons=long_persons(spark, sf, "lsoa"))
 
 
 @query("lsoa_individual_no_priority", _lsoa_selection(None))
 def lsoa_individual_no_priority(spark, sf):
     rows = long_rows(spark, sf, "lsoa")
-    return rl.select_lsoa(rows, max_record_date=_LAST_DAY, priority_index=None)
+    persons = long_persons(spark, sf, "lsoa")
+    return rl.select_lsoa(rows, max_record_date=_LAST_DAY, priority_index=None, persons=persons)
 
 
 # Codelists -----------------------------------------------------------------------------------------------------------
@@ -977,7 +986,7 @@ def hot_person_selected(spark, sf):
 
 @query("sex_individual_until_today", _sex_selection(o.long_table("sex"), "record_date >= date '1900-01-01' and record_date <= current_date"))
 def sex_individual_until_today(spark, sf):
-    return rl.select_sex(long_rows(spark, sf, "sex"))
+    return rl.select_sex(long_rows(spark, sf, "sex"), persons=long_persons(spark, sf, "sex"))
 
 
 @query("covid_positive_built_and_saved", o.multisource_sql("covid_positive"))

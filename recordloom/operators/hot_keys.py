@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -12,14 +13,33 @@ MEASURED_BYTES = 256 << 20
 #: A key is hot from this share of all rows on, and from this number of rows on.
 HOT_SHARE = 1 / 500
 HOT_ROWS = 200_000
+#: What plans that are measured read for each task that they deal their rows to.
+TASK_BYTES = 16 << 20
+#: Spark estimates what it cannot know by a number beyond this.
+UNKNOWN_BYTES = 1 << 60
 #: Keys the sketch tracks; its error is a small multiple of the rows divided by this number.
 TRACKED = 20_000
 
 
+def _leaf_bytes(df: DataFrame) -> list[int]:
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return [int(str(leaves.apply(at).stats().sizeInBytes())) for at in range(leaves.size())]
+
+
 def input_bytes(df: DataFrame) -> int:
     """The optimizer's estimate of what a plan reads, from file sizes and the columns needed; nothing is run."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(at).stats().sizeInBytes())) for at in range(leaves.size()))
+    return sum(_leaf_bytes(df))
+
+
+def dealt(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows dealt by key to tasks whose number grows with what the plan reads; small inputs are left to adaptive execution.
+
+    What follows on the same keys needs no other shuffle. Left to itself, Spark merges pieces until there are few tasks, so a
+    task's share would grow with the input, and cuts ranked rows in the tasks before the shuffle, which sorts all of them once
+    more. Inputs of unknown size, such as rows from the driver, are not counted.
+    """
+    size = sum(read for read in _leaf_bytes(df) if read < UNKNOWN_BYTES)
+    return df if size < MEASURED_BYTES else df.repartition(max(1, math.ceil(size / TASK_BYTES)), *keys)
 
 
 def key_hash(keys: Sequence[str | Column]) -> Column:

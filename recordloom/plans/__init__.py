@@ -5,6 +5,7 @@ from recordloom.plans.assets import (
     build_individual,
     build_multisource,
     multisource,
+    source_persons,
 )
 from recordloom.plans.demographics import new_versions, summarise_demographics, update_demographics
 from recordloom.plans.selection import (
@@ -32,6 +33,7 @@ __all__ = [
     "select_lsoa",
     "select_records",
     "select_sex",
+    "source_persons",
     "summarise_demographics",
     "update_demographics",
 ]

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from recordloom.operators.codelists import read_codelist
+from recordloom.operators.filters import require
 from recordloom.plans.selection import SELECTIONS, SelectionSpec, select_records
 from recordloom.sources.codelist_values import packaged_codelist
 from recordloom.sources.extracts import ASSETS, Asset, Codelist, combine_sources, extract, scans
@@ -58,6 +59,19 @@ def multisource(
     return combine_sources(extracts)
 
 
+def source_persons(
+    spark: SparkSession,
+    asset: str | Asset,
+    directory: Directory,
+    methods: Sequence[str] | None = None,
+) -> DataFrame:
+    """The person ids of the source tables, as often as they occur: ``persons`` of a selection from an unsaved long table."""
+    asset = ASSETS[asset] if isinstance(asset, str) else asset
+    specs = [asset.sources[method] for method in asset.chosen(methods)]
+    tables = [load_table(spark, spec.table, directory, spec.method).select("person_id") for spec in specs]
+    return require(combine_sources(tables), ["person_id"])
+
+
 def build_multisource(
     spark: SparkSession,
     asset: str | Asset,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from recordloom.functions import seeded_order
 from recordloom.operators.filters import exclude_codes, filter_sources, require, within_dates
-from recordloom.operators.hot_keys import has_key, hot_keys
+from recordloom.operators.hot_keys import dealt, has_key, hot_keys
 from recordloom.sources.codelist_values import ETHNICITY_NULL_CODES
 
 SEED = 124910
@@ -78,13 +78,16 @@ def _standing(spec: SelectionSpec, priority: Mapping[str, int] | None) -> Column
     return age * (len(ranks) + 1) + rank if spec.recency_first else rank.cast("long") * 2**33 + age
 
 
-def _best_rows(rows: DataFrame, spec: SelectionSpec, priority: Mapping[str, int] | None) -> DataFrame:
+def _best_rows(
+    rows: DataFrame, spec: SelectionSpec, priority: Mapping[str, int] | None, persons: DataFrame | None = None
+) -> DataFrame:
     """Each person's best rows, with the number of equal ones in ``copies``.
 
-    By default one scan and one shuffle: every task cuts its persons to their best rows first, and the rank leaves those of the
-    best standing. What one task gets of a person then are the rows that tie. Where a person holds so many rows that these could
-    be too many for a task, the rows of such persons are counted by their whole content instead, which combines equal ones
-    map-side and spreads the others, and the distinct ones are ranked: a shuffle more, for these persons only.
+    One scan and one shuffle. Of a small input every task cuts its persons to their best rows first; a larger one is dealt by
+    person as it is, to tasks whose number grows with it, and sorted there once. Where a person holds so many rows that these
+    could be too many for a task, the rows of such persons are counted by their whole content instead, which combines equal ones
+    map-side and spreads the others, and the distinct ones are cut by every task and ranked: a shuffle more, for these persons
+    only.
     """
     ranked = rows.select("person_id", "record_date", "data_source", *spec.values, _standing(spec, priority).alias("standing"))
     person = Window.partitionBy("person_id").orderBy("standing")
@@ -92,12 +95,12 @@ def _best_rows(rows: DataFrame, spec: SelectionSpec, priority: Mapping[str, int]
     def best(of: DataFrame) -> DataFrame:
         return of.withColumn("place", F.rank().over(person)).filter("place = 1").drop("place", "standing")
 
-    hot = hot_keys(ranked, ["person_id"])
+    hot = hot_keys(ranked if persons is None else persons, ["person_id"])
     if not hot:
-        return best(ranked.withColumn("copies", F.lit(1)))
+        return best(dealt(ranked.withColumn("copies", F.lit(1)), ["person_id"]))
     is_hot = has_key(["person_id"], hot)
     counted = ranked.filter(is_hot).groupBy(*ranked.columns).agg(F.count(F.lit(1)).cast("int").alias("copies"))
-    return best(ranked.filter(~is_hot).withColumn("copies", F.lit(1))).unionByName(best(counted))
+    return best(dealt(ranked.filter(~is_hot).withColumn("copies", F.lit(1)), ["person_id"])).unionByName(best(counted))
 
 
 def select_records(
@@ -108,6 +111,7 @@ def select_records(
     priority_index: Mapping[str, int] | None = _DEFAULT,
     null_codes: Mapping[str, Collection[str]] | None = None,
     seed: int = SEED,
+    persons: DataFrame | None = None,
 ) -> DataFrame:
     """One record per person: best source priority, then latest date (or the reverse), ties reported.
 
@@ -119,6 +123,10 @@ def select_records(
 
     Nothing is assumed about equal rows or about how many rows a person has; see ``_best_rows``. A reported tie writes its
     equal rows out, so its arrays are as long as the tie.
+
+    Persons with very many rows are looked for in a pass over the person ids before the plan is made. If ``df`` is not a stored
+    table this pass works out all that it takes; ``persons`` then names the rows to look at instead, such as those of
+    ``source_persons``: any with a ``person_id``, as many or more a person than in ``df``. It never decides on a result.
     """
     priority = spec.priority if priority_index is _DEFAULT else priority_index
     _check_priority(priority, spec.sources)
@@ -131,7 +139,7 @@ def select_records(
         usable = within_dates(usable, column, minimum, maximum)
     usable = filter_sources(usable, filter_data_sources, spec.sources)
 
-    best = _best_rows(usable, spec, priority)
+    best = _best_rows(usable, spec, priority, persons)
 
     # Over a person's best rows: how many there are, and whether each tie holds more than one known value. Only persons
     # with a tie to report have their rows gathered.

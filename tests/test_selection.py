@@ -238,3 +238,49 @@ def test_equal_rows_are_kept_in_lists_by_default(spark, database):
     rl.save_table(sex_rows(spark, data), "sex_multisource", directory)
     rl.build_individual(spark, "sex", directory)
     assert rl.load_table(spark, "sex_individual", directory).first()["sex_tie_value"] == ["M", "M", "F"]
+
+
+def test_large_inputs_are_dealt_to_tasks_by_size(spark, tmp_path, rows, plan, monkeypatch):
+    data = [tuple(row.values()) for row in random_sex_rows(3000, 200)]
+    sex_rows(spark, data).write.parquet(str(tmp_path / "sex"))
+    df = spark.read.parquet(str(tmp_path / "sex"))
+    usual = rows(rl.select_sex(df))
+    monkeypatch.setattr(hot_keys, "MEASURED_BYTES", 1)
+    monkeypatch.setattr(hot_keys, "TASK_BYTES", hot_keys.input_bytes(df) / 9)
+    large = rl.select_sex(df)
+    # the rows are dealt once, by a number that grows with the input, and sorted after that only
+    text = plan(large)
+    assert text.count("Exchange") == 1 and "hashpartitioning(person_id" in text and ", 9), REPARTITION_BY_NUM" in text
+    assert text.count("Sort [person_id") == 1 and text.index("Sort [person_id") < text.index("Exchange")
+    assert rows(large) == usual
+    assert rl.select_sex(df, persons=df.limit(0)).rdd.getNumPartitions() == 9
+
+
+def test_persons_to_look_at_spare_the_rows(spark, rows, plan, monkeypatch):
+    """Hot persons are found in other rows than those selected from, which are not worked out twice."""
+    data = [tuple(row.values()) for row in random_sex_rows(2000, 60)] + [("hot", LATER, "1", "M", "gdppr")] * 2000
+    ran = spark.sparkContext.accumulator(0)
+    df = sex_rows(spark, data).cache()
+    usual = rows(rl.select_sex(df))
+    counted = F.udf(lambda sex: ran.add(1) or sex)
+    monkeypatch.setattr(hot_keys, "MEASURED_BYTES", 0)
+    monkeypatch.setattr(hot_keys, "HOT_ROWS", 1000)
+    made = df.withColumn("sex", counted("sex"))
+    split = rl.select_sex(made, persons=df.select("person_id"))
+    assert ran.value == 0 and "partial_count(1)" in plan(split)
+    assert rows(rl.select_sex(df, persons=df.select("person_id"))) == usual
+    # a person taken for hot, or not, without being so has the same rows
+    assert rows(rl.select_sex(df, persons=df.select(F.lit("p1").alias("person_id")))) == usual
+    assert rows(rl.select_sex(df, persons=df.select("person_id").limit(0))) == usual
+    df.unpersist()
+
+
+def test_source_persons(spark, database, rows):
+    keys = ("gdppr_demographics", "hes_apc")
+    directory = {key: {"database": database, "table_name": key} for key in keys}
+    demographics = spark.createDataFrame([("p", DAY, "E1"), (None, DAY, "E1")], "person_id string, reporting_period_end_date date, lsoa string")
+    episodes = spark.createDataFrame([("p", LATER, "E2"), ("q", DAY, "E3")], "PERSON_ID_DEID string, EPISTART date, LSOA11 string")
+    rl.save_table(demographics, "gdppr_demographics", directory)
+    rl.save_table(episodes, "hes_apc", directory)
+    persons = rl.source_persons(spark, "lsoa", directory, methods=["gdppr", "hes_apc"])
+    assert rows(persons) == [("p",), ("p",), ("q",)]
