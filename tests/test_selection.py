@@ -284,3 +284,15 @@ def test_source_persons(spark, database, rows):
     rl.save_table(episodes, "hes_apc", directory)
     persons = rl.source_persons(spark, "lsoa", directory, methods=["gdppr", "hes_apc"])
     assert rows(persons) == [("p",), ("p",), ("q",)]
+
+
+def test_a_large_saved_table_is_sorted_after_its_shuffle_only(spark, database, rows, plan, monkeypatch):
+    directory = {key: {"database": database, "table_name": key} for key in ("sex_multisource", "sex_individual")}
+    rl.save_table(sex_rows(spark, [tuple(row.values()) for row in random_sex_rows(3000, 200)]), "sex_multisource", directory)
+    saved = rl.load_table(spark, "sex_multisource", directory)
+    usual = rows(rl.select_sex(saved))
+    monkeypatch.setattr(hot_keys, "MEASURED_BYTES", 1)
+    text = plan(rl.select_sex(saved))
+    assert text.count("Exchange") == 1 and text.rindex("WindowGroupLimit") < text.index("Exchange") < text.index("FileScan")
+    rl.build_individual(spark, "sex", directory)
+    assert rows(rl.load_table(spark, "sex_individual", directory)) == usual
