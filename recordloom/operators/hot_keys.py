@@ -14,11 +14,17 @@ MEASURED_BYTES = 256 << 20
 HOT_SHARE = 1 / 500
 HOT_ROWS = 200_000
 #: What plans that are measured read for each task that they deal their rows to.
-TASK_BYTES = 16 << 20
+TASK_BYTES = 4 << 20
+#: A distinct is dealt from this size of its columns on, to a task for each so many bytes of them; from ``MANY_TASKS`` on tasks
+#: are filled up to the greater number first, as pieces of a shuffle would become too many.
+DEALT_DISTINCT_BYTES = 8 << 20
+DISTINCT_TASK_BYTES = 1 << 20
+MANY_TASKS = 4096
+FULL_TASK_BYTES = 16 << 20
 #: Spark estimates what it cannot know by a number beyond this.
 UNKNOWN_BYTES = 1 << 60
-#: Keys the sketch tracks; its error is a small multiple of the rows divided by this number.
-TRACKED = 20_000
+#: Buckets that keys are counted in, by hash.
+BUCKETS = 1 << 16
 
 
 def _leaf_bytes(df: DataFrame) -> list[int]:
@@ -31,6 +37,12 @@ def input_bytes(df: DataFrame) -> int:
     return sum(_leaf_bytes(df))
 
 
+def column_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of the input's share that is in the columns of ``df``; what it cannot know does not count."""
+    read = sum(size for size in _leaf_bytes(df) if size < UNKNOWN_BYTES)
+    return min(read, int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())))
+
+
 def dealt(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows dealt by key to tasks whose number grows with what the plan reads; small inputs are left to adaptive execution.
 
@@ -42,25 +54,44 @@ def dealt(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df if size < MEASURED_BYTES else df.repartition(max(1, math.ceil(size / TASK_BYTES)), *keys)
 
 
-def key_hash(keys: Sequence[str | Column]) -> Column:
-    return F.xxhash64(*[F.col(f"`{k}`") if isinstance(k, str) else k for k in keys])
+def key_bucket(keys: Sequence[str | Column]) -> Column:
+    hashed = F.xxhash64(*[F.col(f"`{k}`") if isinstance(k, str) else k for k in keys])
+    return F.pmod(hashed, F.lit(BUCKETS)).cast("int")
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str | Column]) -> list[int]:
-    """Hashes of the keys that hold many rows of ``df``, at most ``1 / HOT_SHARE`` or so of them.
+def hot_keys(df: DataFrame, keys: Sequence[str | Column], measured_bytes: int | None = None) -> list[int]:
+    """Buckets of the keys that hold many rows of ``df``, at most ``1 / HOT_SHARE`` of them.
 
-    One pass over the key columns with a sketch of bounded size, combined map-side; small inputs are not read. Which keys
-    are returned only decides on a plan, never on a result.
+    One pass over the key columns counts rows by bucket, combined map-side; small inputs are not read. Some other keys share
+    a bucket with a hot one. Which buckets are returned only decides on a plan, never on a result.
     """
-    if input_bytes(df) < MEASURED_BYTES:
+    if input_bytes(df) < (MEASURED_BYTES if measured_bytes is None else measured_bytes):
         return []
-    hashed = df.select(key_hash(keys).alias("key"))
-    most = int(1 / HOT_SHARE)
-    found = hashed.agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(key, {most}, {TRACKED})").alias("top")).first()
-    least = max(HOT_ROWS, found["n"] * HOT_SHARE)
-    return sorted(entry["item"] for entry in found["top"] if entry["count"] >= least)
+    counted = df.groupBy(key_bucket(keys).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    many = F.when(F.col("n") >= HOT_ROWS, F.struct("bucket", "n"))
+    found = counted.agg(F.sum("n").alias("rows"), F.collect_list(many).alias("many")).first()
+    return sorted(entry["bucket"] for entry in found["many"] if entry["n"] >= found["rows"] * HOT_SHARE)
+
 
+def has_key(keys: Sequence[str | Column], buckets: Sequence[int]) -> Column:
+    """Whether a row's key is in one of the buckets that ``hot_keys`` returned."""
+    return key_bucket(keys).isin(list(buckets))
 
-def has_key(keys: Sequence[str | Column], hashes: Sequence[int]) -> Column:
-    """Whether a row's key is one of those that ``hot_keys`` returned."""
-    return key_hash(keys).isin(list(hashes))
+
+def distinct_rows(df: DataFrame) -> DataFrame:
+    """Distinct rows; those of a large input are dealt once, by their whole content, to tasks whose number grows with it.
+
+    Left to itself, Spark gathers the distinct rows of a whole split before the shuffle and merges pieces after it until there
+    are few, so what a task holds would grow with the input. Rows that are repeated very often are combined before their
+    shuffle all the same, so that equal ones need not meet in one task.
+    """
+    size = column_bytes(df)
+    if size < DEALT_DISTINCT_BYTES:
+        return df.distinct()
+    tasks = math.ceil(max(min(size / DISTINCT_TASK_BYTES, MANY_TASKS), size / FULL_TASK_BYTES))
+    whole = [F.col(f"`{column}`") for column in df.columns]
+    hot = hot_keys(df, whole, measured_bytes=0)
+    if not hot:
+        return df.repartition(tasks, *whole).distinct()
+    is_hot = has_key(whole, hot)
+    return df.filter(~is_hot).repartition(tasks, *whole).distinct().unionByName(df.filter(is_hot).distinct())

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from recordloom.functions import dob_from_age, lookup, recoded
 from recordloom.operators.codelists import fits_broadcast, match_codelist
 from recordloom.operators.filters import require
+from recordloom.operators.hot_keys import distinct_rows
 from recordloom.sources import codelist_values as values
 
 
@@ -105,8 +106,8 @@ def extract(
 ) -> DataFrame:
     """Rows of one loaded table for an asset, distinct and tagged with the data source.
 
-    Only the needed columns are read, unusable rows are dropped at the scan, and duplicates are combined map-side
-    before the shuffle of the distinct, which is keyed by the whole row and therefore spreads a frequent person.
+    Only the needed columns are read and unusable rows are dropped at the scan. The shuffle of the distinct is keyed by the
+    whole row and therefore spreads a frequent person; see ``distinct_rows`` for rows that are repeated.
     A codelist filters before the distinct but its texts are attached after it, so they are not shuffled.
 
     Several labels that differ in their predicate only are served by one scan.
@@ -130,11 +131,11 @@ def extract(
     rows = require(rows, ["person_id", *[c for c in spec.kept if c not in spec.nullable]])
     if len(specs) == 1:
         rows = rows if spec.where is None else rows.filter(spec.where)
-        rows = rows.select("person_id", *spec.kept).distinct().withColumn("data_source", F.lit(labels[0]))
+        rows = distinct_rows(rows.select("person_id", *spec.kept)).withColumn("data_source", F.lit(labels[0]))
     else:
         met = [F.lit(l) if s.where is None else F.when(F.expr(s.where), l) for l, s in zip(labels, specs)]
         tags = F.explode(F.array_compact(F.array(*met))).alias("data_source")
-        rows = rows.select("person_id", *spec.kept, tags).distinct()
+        rows = distinct_rows(rows.select("person_id", *spec.kept, tags))
 
     if listed:
         rows = match_codelist(rows, codes.of(spec.codelist), how="inner", small=codes.small)

@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 
 import recordloom as rl
+from recordloom.operators import hot_keys
 from recordloom.sources.extracts import scans
 
 DAY = dt.date(2020, 1, 1)
@@ -184,3 +185,25 @@ def test_fixed_columns_only(spark):
         assert asset.schema.names[0] == "person_id" and asset.schema.names[-1] == "data_source"
         with pytest.raises(ValueError):
             asset.chosen([])
+
+
+def test_distinct_of_a_large_source_is_dealt_to_tasks_by_size(spark, tmp_path, rows, plan, monkeypatch):
+    many = spark.range(4000).selectExpr("concat('p', id % 900) as person_id", "date '2020-01-01' as apptdate", "concat('E', id % 4) as lsoa11")
+    equal = spark.range(3000).selectExpr("'hot' as person_id", "date '2020-01-01' as apptdate", "'E1' as lsoa11")
+    many.unionByName(equal).write.parquet(str(tmp_path / "hes_op"))
+    df = spark.read.parquet(str(tmp_path / "hes_op"))
+    usual = rl.extract(df, rl.ASSETS["lsoa"], "hes_op")
+    monkeypatch.setattr(hot_keys, "DEALT_DISTINCT_BYTES", 1)
+    monkeypatch.setattr(hot_keys, "DISTINCT_TASK_BYTES", hot_keys.column_bytes(df) / 9)
+    large = rl.extract(df, rl.ASSETS["lsoa"], "hes_op")
+    # one shuffle, to a number of tasks that grows with the input, and nothing gathered before it
+    text = plan(large)
+    assert text.count("Exchange") == 1 and ", 9), REPARTITION_BY_NUM" in text
+    assert "HashAggregate" not in text[text.index("Exchange") :]
+    assert rows(large) == rows(usual) and large.count() == 901
+    # rows that are repeated very often are combined before their shuffle
+    monkeypatch.setattr(hot_keys, "HOT_ROWS", 1000)
+    split = rl.extract(df, rl.ASSETS["lsoa"], "hes_op")
+    text = plan(split)
+    assert "Union" in text and "HashAggregate" in text[text.rindex("Exchange") :]
+    assert rows(split) == rows(usual)
