@@ -15,12 +15,13 @@ HOT_SHARE = 1 / 500
 HOT_ROWS = 200_000
 #: What plans that are measured read for each task that they deal their rows to.
 TASK_BYTES = 4 << 20
-#: A distinct is dealt from this size of its columns on, to a task for each so many bytes of them; from ``MANY_TASKS`` on tasks
-#: are filled up to the greater number first, as pieces of a shuffle would become too many.
+#: A distinct is dealt from this size of its columns on, to a task for each so many bytes of them.
 DEALT_DISTINCT_BYTES = 8 << 20
 DISTINCT_TASK_BYTES = 1 << 20
-MANY_TASKS = 4096
-FULL_TASK_BYTES = 16 << 20
+#: Up to this number of tasks a shuffle writes rows as they come (``spark.shuffle.sort.bypassMergeThreshold``); beyond it, a task
+#: that writes holds the rows of its whole split. So tasks are filled up to so many times their bytes before there are more.
+FEW_TASKS = 200
+FILLED = 6
 #: Spark estimates what it cannot know by a number beyond this.
 UNKNOWN_BYTES = 1 << 60
 #: Buckets that keys are counted in, by hash.
@@ -43,6 +44,11 @@ def column_bytes(df: DataFrame) -> int:
     return min(read, int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())))
 
 
+def tasks_for(size: int, task_bytes: float) -> int:
+    """The number of tasks to deal rows to, of which so many bytes are read."""
+    return max(1, math.ceil(max(min(size / task_bytes, FEW_TASKS), size / (FILLED * task_bytes))))
+
+
 def dealt(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows dealt by key to tasks whose number grows with what the plan reads; small inputs are left to adaptive execution.
 
@@ -51,7 +57,7 @@ def dealt(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     more. Inputs of unknown size, such as rows from the driver, are not counted.
     """
     size = sum(read for read in _leaf_bytes(df) if read < UNKNOWN_BYTES)
-    return df if size < MEASURED_BYTES else df.repartition(max(1, math.ceil(size / TASK_BYTES)), *keys)
+    return df if size < MEASURED_BYTES else df.repartition(tasks_for(size, TASK_BYTES), *keys)
 
 
 def key_bucket(keys: Sequence[str | Column]) -> Column:
@@ -88,7 +94,7 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     size = column_bytes(df)
     if size < DEALT_DISTINCT_BYTES:
         return df.distinct()
-    tasks = math.ceil(max(min(size / DISTINCT_TASK_BYTES, MANY_TASKS), size / FULL_TASK_BYTES))
+    tasks = tasks_for(size, DISTINCT_TASK_BYTES)
     whole = [F.col(f"`{column}`") for column in df.columns]
     hot = hot_keys(df, whole, measured_bytes=0)
     if not hot:

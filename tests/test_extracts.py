@@ -207,3 +207,15 @@ def test_distinct_of_a_large_source_is_dealt_to_tasks_by_size(spark, tmp_path, r
     text = plan(split)
     assert "Union" in text and "HashAggregate" in text[text.rindex("Exchange") :]
     assert rows(split) == rows(usual)
+
+
+def test_distinct_of_a_large_source_has_few_pieces(spark, tmp_path, rows, plan, monkeypatch):
+    many = spark.range(4000).selectExpr("concat('p', id % 900) as person_id", "date '2020-01-01' as apptdate", "concat('E', id % 4) as lsoa11")
+    many.write.parquet(str(tmp_path / "hes_op"))
+    df = spark.read.parquet(str(tmp_path / "hes_op"))
+    usual = rows(rl.extract(df, rl.ASSETS["lsoa"], "hes_op"))
+    monkeypatch.setattr(hot_keys, "DEALT_DISTINCT_BYTES", 1)
+    monkeypatch.setattr(hot_keys, "DISTINCT_TASK_BYTES", hot_keys.column_bytes(df) / 1100)
+    large = rl.extract(df, rl.ASSETS["lsoa"], "hes_op")
+    assert ", 200), REPARTITION_BY_NUM" in plan(large)
+    assert rows(large) == usual
