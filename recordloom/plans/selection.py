@@ -89,18 +89,23 @@ def _best_rows(
     map-side and spreads the others, and the distinct ones are cut by every task and ranked: a shuffle more, for these persons
     only.
     """
-    ranked = rows.select("person_id", "record_date", "data_source", *spec.values, _standing(spec, priority).alias("standing"))
+    needed = rows.select("person_id", "record_date", "data_source", *spec.values)
     person = Window.partitionBy("person_id").orderBy("standing")
 
     def best(of: DataFrame) -> DataFrame:
-        return of.withColumn("place", F.rank().over(person)).filter("place = 1").drop("place", "standing")
+        # What can be worked out after the shuffle is not shuffled.
+        ranked = of.withColumn("standing", _standing(spec, priority)).withColumn("place", F.rank().over(person))
+        return ranked.filter("place = 1").drop("place", "standing")
 
-    hot = hot_keys(ranked if persons is None else persons, ["person_id"])
+    def single(of: DataFrame) -> DataFrame:
+        return best(dealt(of, ["person_id"])).withColumn("copies", F.lit(1))
+
+    hot = hot_keys(needed if persons is None else persons, ["person_id"])
     if not hot:
-        return best(dealt(ranked.withColumn("copies", F.lit(1)), ["person_id"]))
+        return single(needed)
     is_hot = has_key(["person_id"], hot)
-    counted = ranked.filter(is_hot).groupBy(*ranked.columns).agg(F.count(F.lit(1)).cast("int").alias("copies"))
-    return best(dealt(ranked.filter(~is_hot).withColumn("copies", F.lit(1)), ["person_id"])).unionByName(best(counted))
+    counted = needed.filter(is_hot).groupBy(*needed.columns).agg(F.count(F.lit(1)).cast("int").alias("copies"))
+    return single(needed.filter(~is_hot)).unionByName(best(counted))
 
 
 def select_records(

@@ -296,3 +296,18 @@ def test_a_large_saved_table_is_sorted_after_its_shuffle_only(spark, database, r
     assert text.count("Exchange") == 1 and text.rindex("WindowGroupLimit") < text.index("Exchange") < text.index("FileScan")
     rl.build_individual(spark, "sex", directory)
     assert rows(rl.load_table(spark, "sex_individual", directory)) == usual
+
+
+def test_a_large_shuffle_has_few_pieces_and_no_derived_columns(spark, tmp_path, rows, plan, monkeypatch):
+    sex_rows(spark, [tuple(row.values()) for row in random_sex_rows(3000, 200)]).write.parquet(str(tmp_path / "sex"))
+    df = spark.read.parquet(str(tmp_path / "sex"))
+    usual = rows(rl.select_sex(df))
+    monkeypatch.setattr(hot_keys, "MEASURED_BYTES", 1)
+    monkeypatch.setattr(hot_keys, "TASK_BYTES", hot_keys.input_bytes(df) / 1100)
+    large = rl.select_sex(df)
+    text = plan(large)
+    # beyond 200 pieces, a task that writes would hold its whole split
+    assert ", 200), REPARTITION_BY_NUM" in text
+    assert "standing" in text and "standing" not in text[text.index("Exchange") :]
+    assert rows(large) == usual
+    assert [hot_keys.tasks_for(size, 4) for size in (0, 9, 800, 4800, 9600)] == [1, 3, 200, 200, 400]
