@@ -311,3 +311,35 @@ def test_a_large_shuffle_has_few_pieces_and_no_derived_columns(spark, tmp_path,
     assert "standing" in text and "standing" not in text[text.index("Exchange") :]
     assert rows(large) == usual
     assert [hot_keys.tasks_for(size, 4) for size in (0, 9, 800, 4800, 9600)] == [1, 3, 200, 200, 400]
+
+
+def test_small_areas_from_saved_tables_are_dealt_by_size(spark, database, rows, plan, monkeypatch):
+    """From saved source tables to the saved individual table no task gathers a whole split or a share that grows with the input."""
+    sources = ["hes_op", "hes_ae"]
+    keys = (*sources, "lsoa_multisource", "lsoa_individual")
+    directory = {key: {"database": database, "table_name": key} for key in keys}
+    for name, date, areas in (("hes_op", "apptdate", 7), ("hes_ae", "arrivaldate", 5)):
+        seen = f"date_add(date '2020-01-01', cast(id % 11 as int)) as {date}"
+        visits = spark.range(6000).selectExpr("concat('p', id % 900) as person_id", seen, f"concat('E', id % {areas}) as lsoa11")
+        rl.save_table(visits, name, directory)
+
+    def built():
+        rl.build_multisource(spark, "lsoa", directory, methods=sources)
+        rl.build_individual(spark, "lsoa", directory)
+        return rows(rl.load_table(spark, "lsoa_individual", directory))
+
+    usual = built()
+    assert len(usual) == 900 and any(row[4] == 1 for row in usual)
+    table = rl.load_table(spark, "hes_op", directory).select("person_id", "apptdate", "lsoa11")
+    saved = rl.load_table(spark, "lsoa_multisource", directory)
+    monkeypatch.setattr(hot_keys, "MEASURED_BYTES", 1)
+    monkeypatch.setattr(hot_keys, "DEALT_DISTINCT_BYTES", 1)
+    monkeypatch.setattr(hot_keys, "DISTINCT_TASK_BYTES", hot_keys.column_bytes(table) / 5.5)
+    monkeypatch.setattr(hot_keys, "TASK_BYTES", hot_keys.input_bytes(saved) / 6.5)
+    # a shuffle for each source and one for the selection, with nothing gathered or ranked in the tasks that write them
+    long, one = plan(rl.multisource(spark, "lsoa", directory, sources)), plan(rl.select_lsoa(saved))
+    assert long.count("Exchange") == long.count("REPARTITION_BY_NUM") == 2 and ", 6), REPARTITION_BY_NUM" in long
+    assert not any("HashAggregate" in written.split("FileScan")[0] for written in long.split("Exchange")[1:])
+    assert one.count("Exchange") == 1 and ", 7), REPARTITION_BY_NUM" in one
+    assert not any(step in one[one.index("Exchange") :] for step in ("WindowGroupLimit", "HashAggregate", "Sort"))
+    assert built() == usual
